@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,36 +35,44 @@ _INFINITE = r"(?i)^[+-]?(inf|infinity)$"
 
 def _plain(text: Column) -> Column:
     """Number text without outer blanks and without underscores between digits."""
-    return F.regexp_replace(F.trim(text), "(?<=[0-9])_(?=[0-9])", "")
+    trimmed = F.trim(text)
+    joined = F.regexp_replace(trimmed, "(?<=[0-9])_(?=[0-9])", "")
+    return F.when(trimmed.contains("_"), joined).otherwise(trimmed)
 
 
 def to_decimal(text: Column) -> Column:
     """Decimal from any finite number text, exponents included; otherwise null."""
-    plain = _plain(text)
-    return F.when(plain.rlike(_NUMBER), plain.try_cast(PRICE))
+    return _plain(text).try_cast(PRICE)
 
 
 def to_integer(text: Column) -> Column:
-    """Integer from number text, cut towards zero; otherwise null."""
-    plain = _plain(text)
-    return F.when(plain.rlike(_NUMBER), plain.try_cast("double").try_cast("bigint"))
+    """Integer from number text by way of a double, cut towards zero; otherwise null."""
+    return to_decimal(text).cast("double").try_cast("bigint")
 
 
 def to_date(text: Column) -> Column:
     """Date from ISO text: calendar date, with or without dashes, or week date; otherwise null."""
-    digits = F.regexp_replace(text, "-", "")
-    calendar = F.try_to_date(digits, "yyyyMMdd")
-    year = F.substring(digits, 1, 4).cast("int")
-    week = F.substring(digits, 6, 2).cast("int")
-    day = F.when(F.length(digits) == 8, F.substring(digits, 8, 1).cast("int")).otherwise(1)
-    january_4 = F.make_date(year, F.lit(1), F.lit(4))
-    by_week = F.date_add(january_4, (week - 1) * 7 + day - 1 - F.weekday(january_4))
-    by_week = F.when((week >= 1) & (F.extract(F.lit("YEAROFWEEK"), by_week) == year), by_week)
-    return (
-        F.when(text.rlike("^0000"), F.lit(None))
-        .when(text.rlike(r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}|[0-9]{4})$"), calendar)
-        .when(text.rlike(r"^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)$"), by_week)
-    )
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    calendar = F.when(F.length(text) == 8, dashed).otherwise(text).try_cast("date")
+    return F.when(
+        text.rlike(r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}|[0-9]{4})$"), F.when(~text.startswith("0000"), calendar)
+    ).when(text.rlike(r"^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)$"), _once(text, _week_date))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with a value that is needed many times; keeps the generated code small."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _week_date(dashed: Column) -> Column:
+    text = F.regexp_replace(dashed, "-", "")
+    year = F.substring(text, 1, 4).cast("int")
+    week = F.substring(text, 6, 2).cast("int")
+    weekday = F.when(F.length(text) == 8, F.substring(text, 8, 1).cast("int")).otherwise(1)
+    # the fourth of January always lies in week one
+    january_4 = F.make_date(F.greatest(year, F.lit(1)), F.lit(1), F.lit(4))
+    found = F.date_add(january_4, (week - 1) * 7 + weekday - 1 - F.weekday(january_4))
+    return F.when((week >= 1) & (F.extract(F.lit("YEAROFWEEK"), found) == year), found)
 
 
 def extra_indicators(record: Column) -> Column:
@@ -72,32 +81,39 @@ def extra_indicators(record: Column) -> Column:
     return F.transform_values(unknown, lambda _, value: F.coalesce(value, F.lit("None")))
 
 
+def _unread_reason(field: Column) -> Column:
+    """Why a number that was sent came out null; null for text that is no number at all."""
+    name, plain = field["name"], _plain(field["text"])
+    is_volume = name == "volume"
+    endless = F.when(is_volume, plain.rlike(_INFINITE)).otherwise(plain.rlike(_NOT_FINITE))
+    kind = F.when(is_volume, F.lit(" does not fit a 64-bit integer")).when(
+        endless, F.lit(" is not a finite number")
+    ).otherwise(F.lit(" does not fit decimal(38,18)"))
+    return F.when(endless | plain.rlike(_NUMBER), F.concat(name, kind))
+
+
 def _reject_reason() -> Column:
     record = F.col("record")
     date_text = record["date"]
-    reasons = [
-        F.when(
-            ~F.coalesce(F.map_contains_key(record, "date"), F.lit(False)),
-            F.concat(F.lit("Row is missing required 'date' field: "), F.coalesce(F.to_json(record), F.lit("{}"))),
-        ),
-        F.when(date_text.isNull(), F.lit("date must be text")),
+    numbers = [*DECIMAL_FIELDS.items(), ("volume", "volume")]
+    unread = [F.col(column).isNull() & record[name].isNotNull() for name, column in numbers]
+    texts = F.array(*(
+        F.when(missing, F.struct(F.lit(column).alias("name"), record[name].alias("text")))
+        for (name, column), missing in zip(numbers, unread)
+    ))
+    # looked into only for rows with some number that was sent and not read
+    unread_reason = F.get(F.array_compact(F.transform(texts, _unread_reason)), 0)
+    reason = F.coalesce(
+        F.when(date_text.isNull(), _once(record, lambda r: F.when(
+            F.coalesce(F.map_contains_key(r, "date"), F.lit(False)), F.lit("date must be text")
+        ).otherwise(F.concat(
+            F.lit("Row is missing required 'date' field: "), F.coalesce(F.to_json(r), F.lit("{}"))
+        )))),
         F.when(F.col("record_date").isNull(), F.concat(F.lit("Invalid isoformat string: '"), date_text, F.lit("'"))),
-    ]
-    for name, column in DECIMAL_FIELDS.items():
-        plain = _plain(record[name])
-        reasons.append(F.when(plain.rlike(_NOT_FINITE), F.lit(f"{column} is not a finite number")))
-        reasons.append(
-            F.when(plain.rlike(_NUMBER) & F.col(column).isNull(), F.lit(f"{column} does not fit decimal(38,18)"))
-        )
-    volume = _plain(record["volume"])
-    reasons.append(
-        F.when(
-            volume.rlike(_INFINITE) | (volume.rlike(_NUMBER) & F.col("volume").isNull()),
-            F.lit("volume does not fit a 64-bit integer"),
-        )
+        F.when(reduce(lambda a, b: a | b, unread), unread_reason),
+        F.when(F.col("instrument_id").isNull(), F.lit("Row names no known instrument")),
     )
-    reasons.append(F.when(F.col("instrument_id").isNull(), F.lit("Row names no known instrument")))
-    return F.concat(F.lit("Row transform error: "), F.coalesce(*reasons))
+    return F.concat(F.lit("Row transform error: "), reason)
 
 
 def transform_records(records: DataFrame, load_time: datetime | Column) -> DataFrame:

@@ -796,17 +796,17 @@ def _transformed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT l_linestatus AS source_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS page, 0 AS position,
        'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS ticker, 5 AS fields,
-       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS close_text FROM lineitem
+       round(l_extendedprice, 2) AS close_value FROM lineitem
 UNION ALL
 SELECT l_linestatus, l_orderkey || '-' || l_linenumber || '-' || l_partkey, 1,
-       'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0'), 1, '' FROM lineitem WHERE l_linenumber = 7""")
+       'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0'), 1, -1 FROM lineitem WHERE l_linenumber = 7""")
 def feed_records(spark, folder):
     """Name-to-text records of landed pages, with short rows and a repeated column."""
     pages = feed.parse_pages(driver.feed_documents(spark, folder), "document")
     record = F.col("record")
     return feed.page_records(pages).select(
         "source_id", "page", "position", record["ticker"].alias("ticker"), F.size(record).alias("fields"),
-        F.coalesce(record["close"], F.lit("")).alias("close_text"),
+        F.coalesce(record["close"].cast("double"), F.lit(-1.0)).alias("close_value"),
     )
 
 
@@ -1000,10 +1000,13 @@ def ols_predictions(spark, folder):
 
 # ---- questions --------------------------------------------------------------------------------------
 
-DICTIONARY = """dictionary AS (
-  SELECT upper(split_part(text, ' ', 1)) AS symbol, arg_max(conv_id, conv_id * 1000 + turn) AS instrument_id,
+# a sharp s has no single upper-case letter in full case mapping
+UPPER_TEXT = "upper(replace(text, 'ß', 'ss'))"
+
+DICTIONARY = f"""dictionary AS (
+  SELECT split_part({UPPER_TEXT}, ' ', 1) AS symbol, arg_max(conv_id, conv_id * 1000 + turn) AS instrument_id,
          min(conv_id * 1000 + turn) AS position
-  FROM conversations WHERE role = 'assistant' GROUP BY 1 HAVING upper(split_part(text, ' ', 1)) <> '')"""
+  FROM conversations WHERE role = 'assistant' GROUP BY 1 HAVING split_part({UPPER_TEXT}, ' ', 1) <> '')"""
 
 
 @query(f"WITH {DICTIONARY} SELECT * FROM dictionary")
@@ -1012,7 +1015,7 @@ def symbol_dictionary(spark, folder):
 
 
 @query(f"""WITH {DICTIONARY}, q AS (
-  SELECT conv_id AS session_id, turn AS asked_order, upper(text) AS t FROM conversations WHERE role = 'user'),
+  SELECT conv_id AS session_id, turn AS asked_order, {UPPER_TEXT} AS t FROM conversations WHERE role = 'user'),
 hits AS (SELECT session_id, asked_order, arg_min(symbol, position) AS symbol, arg_min(instrument_id, position) AS instrument_id
          FROM q JOIN dictionary ON contains(t, symbol) GROUP BY ALL)
 SELECT session_id, asked_order, hits.symbol, coalesce(hits.instrument_id, -1) AS instrument_id
