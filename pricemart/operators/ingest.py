@@ -157,7 +157,7 @@ def load_log(
 
     Rejected rows leave the status at ``success``; only a load listed in ``failures`` (source_id,
     instrument_id, ingested_at, error) is an ``error``. Messages are joined by "; " in page and row
-    order. A load with more than ``inline_errors`` rejects would need one text of unbounded size: its
+    order. The rows are read twice, so a costly input should be persisted. A load with more than ``inline_errors`` rejects would need one text of unbounded size: its
     message refers to the load errors instead, which hold every message.
     """
     load = [*LOAD_KEY, "ingested_at"]
@@ -170,10 +170,12 @@ def load_log(
     few = counts.where(F.col("skipped").between(1, inline_errors)).select("log_id")
     place = [F.col(c) for c in ("page", "position") if c in transformed.columns]
     texts = (
-        load_errors(transformed).withColumn("log_id", log_id).join(few, "log_id", "left_semi")
+        transformed.where(F.col("reject_reason").isNotNull())
+        .select(log_id.alias("log_id"), F.struct(*place, "reject_reason").alias("_error"))
+        .join(few, "log_id", "left_semi")
         .groupBy("log_id")
-        .agg(F.sort_array(F.collect_list(F.struct(*place, "error_message"))).alias("_errors"))
-        .select("log_id", F.col("_errors.error_message").alias("_messages"))
+        .agg(F.sort_array(F.collect_list("_error")).alias("_errors"))
+        .select("log_id", F.col("_errors.reject_reason").alias("_messages"))
     )
     if failures is None:
         counts = counts.withColumn("error", F.lit(None).cast("string"))

@@ -135,14 +135,15 @@ def instruments_as_of(
     base: DataFrame, versions: DataFrame, requests: DataFrame, max_rows: int = MAX_ROWS_PER_TASK
 ) -> DataFrame:
     """For each request (instrument_id, known_at) the instrument as of then, absent if deleted (extension)."""
-    rows = newest(versions, ["instrument_id", "valid_from"], F.col("version_id").desc())
-    line = rows.select(
-        "instrument_id", F.col("valid_from").alias("known_at"), F.lit(0).alias("_request"),
+    line = versions.select(
+        "instrument_id", F.col("valid_from").alias("known_at"), F.lit(0).alias("_request"), "version_id",
         F.struct("is_delete_marker", "snapshot").alias("_version"),
     ).unionByName(
         requests.select("instrument_id", "known_at", F.lit(1).alias("_request")), allowMissingColumns=True
     )
-    order = SeriesOrder(("instrument_id",), (F.col("known_at"), F.col("_request")), F.unix_micros("known_at"))
+    # of versions with the same time the last written comes last
+    place = (F.col("known_at"), F.col("_request"), F.col("version_id"))
+    order = SeriesOrder(("instrument_id",), place, F.unix_micros("known_at"))
     merged = ordered_scan(line, order, {"_known": last_known("_version")}, max_rows).where(F.col("_request") == 1)
     live = merged.where(~F.coalesce(F.col("_known.is_delete_marker"), F.lit(False)))
     described = live.select("instrument_id", "known_at", F.col("_known.snapshot").alias("snapshot"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,9 @@ SOME_FAILED = "Some tool calls failed and were ignored for the final summary."
 EVIDENCE_TITLE = "Grounding evidence:"
 EVIDENCE_RUNS = 4
 
+# symbols are short: this many take some ten megabytes in a task
+MAX_SHIPPED_SYMBOLS = 100_000
+
 # fixed values: report sentence per kind of result, with the fields it shows
 REPORT_SENTENCES: dict[str, tuple[str, tuple[str, ...]]] = {
     "get_analytics": ("Analytics summary: ", ("count", "min_close", "max_close", "avg_close", "total_volume")),
@@ -65,13 +69,43 @@ def symbol_dictionary(listing: DataFrame) -> DataFrame:
     )
 
 
-def first_symbol(questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str = "user_prompt") -> DataFrame:
+def first_symbol(
+    questions: DataFrame,
+    dictionary: DataFrame,
+    key: Sequence[str],
+    text: str = "user_prompt",
+    max_shipped: int = MAX_SHIPPED_SYMBOLS,
+) -> DataFrame:
     """The first dictionary symbol that occurs anywhere in each question, null if none does.
 
-    Every piece of the text that is as long as some symbol is looked up by an equality join, so cost
-    grows with the text and not with text times symbols; Spark broadcasts the dictionary if it is
-    small and splits a symbol that very many questions name if it is not.
+    Every piece of the text that is as long as some symbol is looked up, so cost grows with the text
+    and not with text times symbols. A dictionary of up to ``max_shipped`` symbols is sent to the
+    tasks and nothing is shuffled; beyond that the pieces are joined with it by equality, where AQE
+    splits a symbol that very many questions name.
     """
+    shipped = dictionary.select("symbol", "instrument_id", "position").limit(max_shipped + 1).collect()
+    if len(shipped) > max_shipped:
+        return _first_symbol_by_join(questions, dictionary, key, text)
+    places = {row["symbol"]: row["position"] for row in shipped}
+    lengths = sorted({len(symbol) for symbol in places})
+
+    @F.pandas_udf("string")
+    def find(texts: pd.Series) -> pd.Series:
+        def first(question: str | None) -> str | None:
+            if question is None:
+                return None
+            pieces = {question[i:i + n] for n in lengths for i in range(len(question) - n + 1)}
+            return min(pieces & places.keys(), key=places.__getitem__, default=None)
+
+        return texts.map(first, na_action=None)
+
+    found = questions.select(*key, find(F.upper(text)).alias("symbol"))
+    return found.join(F.broadcast(dictionary.select("symbol", "instrument_id")), "symbol", "left").select(
+        *key, "symbol", "instrument_id"
+    )
+
+
+def _first_symbol_by_join(questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str) -> DataFrame:
     # one number per symbol length
     lengths = [row[0] for row in dictionary.select(F.length("symbol")).distinct().collect()]
     upper = F.upper(text)

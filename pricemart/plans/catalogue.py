@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pricemart.functions.text import normal_symbol
 from pricemart.operators import audit, ingest, instruments, metrics, prices, questions, regression, rolling
 from pricemart.plans.jobs import load_records
-from pricemart.session import configure, scratch_path
+from pricemart.session import configure, scratch_path, shared_dir
 from pricemart.sources import driver_tables as driver
 from pricemart.sources import feed, tables
 from pricemart.streaming.feed_stream import start_feed_load
@@ -53,7 +53,8 @@ def micros(name: str, alias: str | None = None) -> Column:
 
 
 def rounded(name: str, digits: int = 6) -> Column:
-    return F.round(F.col(name).cast("double"), digits).alias(name)
+    # plain arithmetic stays in generated code; round() would make a big decimal of every value
+    return (F.floor(F.col(name).cast("double") * 10**digits + 0.5) / F.lit(float(10**digits))).alias(name)
 
 
 # ---- shared SQL -------------------------------------------------------------------------------------
@@ -845,6 +846,13 @@ def observed_columns(spark, folder):
     return found.select("source_id", F.array_join("attributes", ",").alias("attributes"))
 
 
+def _checked(spark: SparkSession, folder: str) -> DataFrame:
+    """What the log needs of the feed, parsed once: the log reads it for its counts and for its messages."""
+    shared_dir(spark)
+    needed = ("source_id", "instrument_id", "ingested_at", "page", "position", "reject_reason")
+    return _transformed(spark, folder).select(*needed).checkpoint()
+
+
 FEED_LOG = """g AS (
   SELECT l_linestatus AS source_id, l_suppkey AS instrument_id, count(*) AS stored,
          count(*) FILTER (l_linenumber = 7) AS skipped,
@@ -859,7 +867,7 @@ shown AS (SELECT *, CASE WHEN skipped > 1000 THEN skipped || ' rows rejected, se
 SELECT source_id, instrument_id, 2024 AS log_year, 'success' AS status, stored + skipped AS fetched, stored AS record_count,
        skipped, error_message FROM shown""")
 def load_log(spark, folder):
-    found = ingest.load_log(_transformed(spark, folder))
+    found = ingest.load_log(_checked(spark, folder))
     return found.select(
         "source_id", "instrument_id", "log_year", "status", "fetched", "record_count", "skipped", "error_message"
     )
@@ -869,7 +877,7 @@ def load_log(spark, folder):
 SELECT source_id, instrument_id, CASE WHEN error_message IS NULL THEN 'completed' ELSE 'failed' END AS status,
        stored AS record_count, error_message FROM shown""")
 def job_outcomes(spark, folder):
-    found = ingest.job_outcomes(ingest.load_log(_transformed(spark, folder)))
+    found = ingest.job_outcomes(ingest.load_log(_checked(spark, folder)))
     return found.select("source_id", "instrument_id", "status", "record_count", "error_message")
 
 
