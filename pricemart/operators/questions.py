@@ -83,7 +83,8 @@ def first_symbol(
     tasks and nothing is shuffled; beyond that the pieces are joined with it by equality, where AQE
     splits a symbol that very many questions name.
     """
-    shipped = dictionary.select("symbol", "instrument_id", "position").limit(max_shipped + 1).collect()
+    dictionary = dictionary.select("symbol", "instrument_id", "position")
+    shipped = dictionary.limit(max_shipped + 1).collect()
     if len(shipped) > max_shipped:
         return _first_symbol_by_join(questions, dictionary, key, text)
     places = {row["symbol"]: row["position"] for row in shipped}
@@ -100,9 +101,8 @@ def first_symbol(
         return texts.map(first, na_action=None)
 
     found = questions.select(*key, find(F.upper(text)).alias("symbol"))
-    return found.join(F.broadcast(dictionary.select("symbol", "instrument_id")), "symbol", "left").select(
-        *key, "symbol", "instrument_id"
-    )
+    ids = questions.sparkSession.createDataFrame(shipped, dictionary.schema).select("symbol", "instrument_id")
+    return found.join(F.broadcast(ids), "symbol", "left").select(*key, "symbol", "instrument_id")
 
 
 def _first_symbol_by_join(questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str) -> DataFrame:

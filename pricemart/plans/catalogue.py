@@ -337,9 +337,7 @@ def aggregates_latest(spark, folder):
     return _aggregates(metrics.aggregates(driver.event_prices(spark, folder), "latest"), 6)
 
 
-@query(f"""{EVENTS}, asked AS (SELECT DISTINCT user_id AS instrument_id, s.event_type AS source_id
-  FROM events JOIN (SELECT DISTINCT event_type FROM events) s ON true),
-g AS (SELECT instrument_id, source_id, count(*) AS n, avg(close_price) AS a, sum(volume) AS v
+@query(f"""{EVENTS}, g AS (SELECT instrument_id, source_id, count(*) AS n, avg(close_price) AS a, sum(volume) AS v
       FROM ep WHERE record_date >= DATE '2024-01-25' GROUP BY ALL)
 SELECT instrument_id, source_id, coalesce(n, 0) AS count, round(a, 6) AS avg_close,
        CAST(coalesce(v, 0) AS BIGINT) AS total_volume
