@@ -24,6 +24,10 @@ from pyspark.sql import types as T
 MAX_ROWS_PER_TASK = 4_000_000
 MAX_PIECES = 4096
 
+# top-n with more rows per key than this is ranked in two steps
+SALT_ABOVE = 100
+SALTS = 32
+
 
 @dataclass(frozen=True)
 class SeriesOrder:
@@ -60,7 +64,23 @@ def newest(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
 
 
 def newest_n(df: DataFrame, keys: Sequence[str], n: int, *order: Column) -> DataFrame:
-    """The first ``n`` rows per key in ``order``, limited map-side in the same way."""
+    """The first ``n`` rows per key in ``order``, limited map-side in the same way.
+
+    With a large ``n`` the rows that many tasks keep for one hot key are too many for the task that
+    ranks them; they are first limited in SALTS groups of their own.
+    """
+    if n > SALT_ABOVE:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(SALTS)))
+        df = _first_rows(salted, [*keys, "_salt"], n, order).drop("_salt")
+    return _first_rows(df, keys, n, order)
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns of a frame that can be hashed: all but those that hold maps."""
+    return [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Column]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 

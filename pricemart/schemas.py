@@ -99,7 +99,7 @@ _SPECS = [
         ),
         key=("instrument_id", "source_id", "window_days", "record_date"),
         group=("instrument_id", "source_id", "window_days"), newest_by=("record_date",),
-        partition_by=("window_days",), delete="keep",
+        partition_by=("window_days", "source_id"), delete="keep",
     ),
     TableSpec(
         "price_predictions",

@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # top-n per key is limited map-side up to the largest page
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # rewriting a table touches only the partitions present in the new rows
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

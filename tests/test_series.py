@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pricemart.functions.series import SeriesOrder, last_known, newest, ordered_scan, previous, running_max
+from pricemart.functions.series import SeriesOrder, last_known, newest, newest_n, ordered_scan, previous, running_max
 from pricemart.operators import metrics
 from pricemart.operators.instruments import version_history
 from pricemart.operators.prices import prices_as_of
@@ -86,3 +86,12 @@ def test_history_and_as_of_in_pieces(spark, prices):
 def test_newest_keeps_one_row_per_key(spark):
     rows = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("b", 1, 3.0)], SCHEMA)
     assert sorted(tuple(r) for r in newest(rows, ["k"], F.col("t").desc()).collect()) == [("a", 2, None), ("b", 1, 3.0)]
+
+
+def test_large_top_n_in_two_steps(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("cold")).otherwise("hot").alias("k"), F.col("id").alias("t"))
+    rows = rows.withColumn("m", F.create_map(F.lit("a"), F.col("t")))
+    got = newest_n(rows, ["k"], 150, F.col("t").desc())
+    assert got.columns == ["k", "t", "m"]
+    per_key = {r.k: (r.n, r.least) for r in got.groupBy("k").agg(F.count("*").alias("n"), F.min("t").alias("least")).collect()}
+    assert per_key == {"cold": (150, 2550), "hot": (150, 2776)}

@@ -50,10 +50,10 @@ def test_upsert_rewrites_touched_partitions_only(spark, root, tmp_path):
         )
 
     tables.upsert(spark, root, "rolling_averages", averages(7, 1.0))
-    before = sorted(p.name for p in (tmp_path / "rolling_averages" / "window_days=7").iterdir())
+    before = sorted((tmp_path / "rolling_averages" / "window_days=7").rglob("*.parquet"))
     tables.upsert(spark, root, "rolling_averages", averages(30, 2.0))
     tables.upsert(spark, root, "rolling_averages", averages(30, 3.0))
-    assert sorted(p.name for p in (tmp_path / "rolling_averages" / "window_days=7").iterdir()) == before
+    assert sorted((tmp_path / "rolling_averages" / "window_days=7").rglob("*.parquet")) == before
     got = {r.window_days: r.close_price for r in tables.scan(spark, root, "rolling_averages").collect()}
     assert got == {7: 1.0, 30: 3.0}
 
