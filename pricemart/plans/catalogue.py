@@ -958,19 +958,26 @@ def latest_features(spark, folder):
 
 
 @query(f"""{FEATURES} SELECT instrument_id, source_id, count(*) AS training_rows, round(avg(label), 3) AS mean_label,
-       round(var_pop(label), 2) AS variance_label, round(covar_pop(close_price, label), 2) AS close_label,
-       round(covar_pop(lag_3_close, label), 2) AS lag_3_label, round(covar_pop(day_index, volume), 2) AS day_volume
+       round(stddev_pop(label), 3) AS deviation_label, round(corr(close_price, label), 6) AS close_label,
+       round(corr(lag_3_close, label), 6) AS lag_3_label, round(corr(day_index, volume), 6) AS day_volume
 FROM f WHERE lag_3_close IS NOT NULL AND label IS NOT NULL GROUP BY ALL""")
 def regression_statistics(spark, folder):
-    """Some of the moments that the models of all series are solved from."""
+    """Some of the moments that the models of all series are solved from, as correlations."""
     columns = [*regression.FEATURES, "label"]
-    covariance = lambda a, b: F.col("covariances")[columns.index(a) * len(columns) + columns.index(b)]
+
+    def covariance(a: str, b: str) -> Column:
+        return F.col("covariances")[columns.index(a) * len(columns) + columns.index(b)]
+
+    def correlation(a: str, b: str) -> Column:
+        spread = F.sqrt(covariance(a, a)) * F.sqrt(covariance(b, b))
+        return F.round(F.try_divide(covariance(a, b), spread), 6)
+
     return regression.series_statistics(_features(spark, folder)).select(
         *IDS, "training_rows", F.round(F.col("means")[columns.index("label")], 3).alias("mean_label"),
-        F.round(covariance("label", "label"), 2).alias("variance_label"),
-        F.round(covariance("close_price", "label"), 2).alias("close_label"),
-        F.round(covariance("lag_3_close", "label"), 2).alias("lag_3_label"),
-        F.round(covariance("day_index", "volume"), 2).alias("day_volume"),
+        F.round(F.sqrt(covariance("label", "label")), 3).alias("deviation_label"),
+        correlation("close_price", "label").alias("close_label"),
+        correlation("lag_3_close", "label").alias("lag_3_label"),
+        correlation("day_index", "volume").alias("day_volume"),
     )
 
 
