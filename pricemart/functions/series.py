@@ -118,8 +118,8 @@ def ordered_scan(
         *keys, "_piece",
         *(_carry(spec, F.col(f"_all_{name}")).over(before).alias(f"_before_{name}") for name, spec in columns.items()),
     )
-    # at most MAX_PIECES rows for each series above max_rows, so this side stays small
-    joined = local.join(F.broadcast(carried), keys + ["_piece"], "left")
+    # the rows already lie by series and piece, so whichever join Spark picks they are not moved again
+    joined = local.join(carried, keys + ["_piece"], "left")
     return joined.select(
         *(F.col(f"`{c}`") for c in df.columns),
         *(

@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+# fixed values: what may stand around the 32 hexadecimal digits of a UUID
+UUID_PREFIXES = "urn:|uuid:"
+UUID_MARKS = "^[{}]+|[{}]+$|-"
 
 
 def number_text(value: Column, kind: T.DataType) -> Column:
@@ -33,8 +35,9 @@ def normal_symbol(symbol: Column) -> Column:
 
 
 def is_uuid(text: Column) -> Column:
-    """Whether text is a UUID in its canonical form, in either case."""
-    return F.coalesce(F.lower(text).rlike(UUID_PATTERN), F.lit(False))
+    """Whether text is a UUID, with or without dashes, braces or a URN prefix, in either case."""
+    digits = F.regexp_replace(F.regexp_replace(text, UUID_PREFIXES, ""), UUID_MARKS, "")
+    return F.coalesce(digits.rlike("^[0-9a-fA-F]{32}$"), F.lit(False))
 
 
 def stable_id(*parts: Column) -> Column:

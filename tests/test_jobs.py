@@ -1,4 +1,5 @@
 import json
+import uuid
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -139,5 +140,17 @@ def test_ids(spark):
     ids = [r[0] for r in frame.select(stable_id(F.col("x"), F.col("y"))).collect()]
     assert len(set(ids)) == 2
     assert frame.select(is_uuid(stable_id(F.col("x"), F.col("y"))).alias("ok")).where("not ok").isEmpty()
-    bad = spark.createDataFrame([("nope",), (None,), ("123E4567-E89B-12D3-A456-426614174000",)], "t string")
-    assert [r[0] for r in bad.select(is_uuid(F.col("t"))).collect()] == [False, False, True]
+    texts = [
+        "nope", "", "123e4567-e89b-12d3-a456-42661417400", "123E4567-E89B-12D3-A456-426614174000",
+        "{123e4567-e89b-12d3-a456-426614174000}", "urn:uuid:123e4567-e89b-12d3-a456-426614174000", "0" * 32, "g" * 32,
+    ]
+
+    def valid(text):
+        try:
+            uuid.UUID(text)
+        except ValueError:
+            return False
+        return True
+
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    assert [r[0] for r in rows.select(is_uuid(F.col("t"))).collect()] == [*map(valid, texts), False]
