@@ -44,17 +44,19 @@ def _newest_version(versions: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(snapshot: str) -> Column:
+    """A version's JSON as a struct of texts; null where there is none. Parse it before joining."""
+    return F.from_json(F.nullif(F.col(snapshot), F.lit("")), _SNAPSHOT).alias("_snap")
+
+
 def _snapshot_or_base(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with base columns and ``snapshot``: the snapshot's fields where there is one."""
-    snapshot = F.from_json(F.nullif(F.col("snapshot"), F.lit("")), _SNAPSHOT)
-    read = rows.withColumn("_snap", snapshot)
+    """Rows with base columns and ``_snap``: the snapshot's fields where there is one."""
 
     def field(name: str) -> Column:
-        kind = rows.schema[name].dataType
-        value = F.col("_snap")[name]
-        return F.when(F.col("_snap").isNotNull(), value.try_cast(kind)).otherwise(F.col(name)).alias(name)
+        value = F.col("_snap")[name].try_cast(rows.schema[name].dataType)
+        return F.when(F.col("_snap").isNotNull(), value).otherwise(F.col(name)).alias(name)
 
-    return read.select(*extra, "instrument_id", *(field(name) for name in INSTRUMENT_FIELDS))
+    return rows.select(*extra, "instrument_id", *(field(name) for name in INSTRUMENT_FIELDS))
 
 
 def current_instruments(base: DataFrame, versions: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def current_instruments(base: DataFrame, versions: DataFrame) -> DataFrame:
 
     No version: the base row. Newest version a delete marker: absent. No snapshot in it: the base row.
     """
-    latest = _newest_version(versions).select("instrument_id", "is_delete_marker", "snapshot")
+    latest = _newest_version(versions).select("instrument_id", "is_delete_marker", _parsed("snapshot"))
     joined = base.join(latest, "instrument_id", "left")
     return _snapshot_or_base(joined.where(~F.coalesce("is_delete_marker", F.lit(False))))
 
@@ -146,7 +148,7 @@ def instruments_as_of(
     order = SeriesOrder(("instrument_id",), place, F.unix_micros("known_at"))
     merged = ordered_scan(line, order, {"_known": last_known("_version")}, max_rows).where(F.col("_request") == 1)
     live = merged.where(~F.coalesce(F.col("_known.is_delete_marker"), F.lit(False)))
-    described = live.select("instrument_id", "known_at", F.col("_known.snapshot").alias("snapshot"))
+    described = live.select("instrument_id", "known_at", _parsed("_known.snapshot"))
     return _snapshot_or_base(described.join(base, "instrument_id"), ("known_at",))
 
 
