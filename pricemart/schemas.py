@@ -25,6 +25,7 @@ class TableSpec:
     ``group`` is its leading part, inside which ``newest_by`` (descending) picks the latest row.
     ``delete`` is one of ``remove`` (physically), ``keep`` (append-only, deletes do nothing),
     ``refuse`` (deletes are an error) and ``marker`` (deletes append a row).
+    ``by_load`` tables are append-only and keep the rows of every load under a name of its own.
     """
 
     name: str
@@ -34,10 +35,19 @@ class TableSpec:
     newest_by: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     delete: str = "keep"
+    by_load: bool = False
 
 
 INSTRUMENT_FIELDS = ("symbol", "instrument_class", "name", "region", "currency", "exchange_id", "description", "created_at")
 
+JOB = _struct(
+    {"job_id": TEXT},
+    {
+        "symbol": TEXT, "datatable_code": TEXT, "status": TEXT, "queued_at": TIME, "started_at": TIME,
+        "completed_at": TIME, "record_count": T.IntegerType(), "error_message": TEXT,
+    },
+)
+
 _SPECS = [
     TableSpec(
         "financial_instruments",
@@ -84,7 +94,7 @@ _SPECS = [
         ),
         key=("instrument_id", "source_id", "record_year", "record_date", "system_date"),
         group=("instrument_id", "source_id", "record_date"),
-        newest_by=("system_date",), partition_by=("source_id", "record_year"), delete="marker",
+        newest_by=("system_date",), partition_by=("source_id", "record_year"), delete="marker", by_load=True,
     ),
     TableSpec(
         "rolling_averages",
@@ -115,15 +125,14 @@ _SPECS = [
     ),
     TableSpec(
         "ingest_jobs",
-        _struct(
-            {"job_id": TEXT},
-            {
-                "symbol": TEXT, "datatable_code": TEXT, "status": TEXT, "queued_at": TIME, "started_at": TIME,
-                "completed_at": TIME, "record_count": T.IntegerType(), "error_message": TEXT,
-            },
-        ),
+        JOB,
         key=("job_id",), group=("job_id",), delete="refuse",
     ),
+    TableSpec(
+        "ingest_job_changes",
+        JOB,
+        key=("job_id",), group=("job_id",), delete="refuse", by_load=True,
+    ),
     TableSpec(
         "ingest_log",
         _struct(
@@ -134,7 +143,7 @@ _SPECS = [
             },
         ),
         key=("source_id", "log_year", "ingested_at"), group=("source_id", "log_year"),
-        newest_by=("ingested_at",), partition_by=("log_year",), delete="keep",
+        newest_by=("ingested_at",), partition_by=("log_year",), delete="keep", by_load=True,
     ),
     TableSpec(
         "question_log",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -21,15 +22,19 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def scan(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table by name, with its declared schema; empty if nothing was written yet."""
+def scan(spark: SparkSession, root: str, name: str, with_load: bool = False) -> DataFrame:
+    """A table by name, with its declared schema; empty if nothing was written yet.
+
+    ``with_load`` adds the ``load_batch`` of the rows of a table kept by load.
+    """
     spec = TABLES[name]
     try:
-        return spark.read.schema(spec.schema).parquet(table_path(root, name))
+        rows = spark.read.schema(spec.schema).parquet(table_path(root, name))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], spec.schema)
+        rows = spark.createDataFrame([], spec.schema).withColumn("load_batch", F.lit(None).cast("string"))
+    return rows if with_load else rows.select(*spec.schema.names)
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -57,12 +62,15 @@ def _write(df: DataFrame, root: str, spec: TableSpec, mode: str, load_batch: str
 def append(df: DataFrame, root: str, name: str) -> None:
     """Add rows to an append-only table."""
     spec = TABLES[name]
-    _write(conform(df, spec), root, spec, "append")
+    load_batch = f"append-{uuid.uuid4().hex}" if spec.by_load else None
+    _write(conform(df, spec), root, spec, "append", load_batch)
 
 
 def append_load(df: DataFrame, root: str, name: str, load_batch: str) -> None:
     """Add the rows of one load. Writing the same load again replaces it, so a retry adds nothing."""
     spec = TABLES[name]
+    if not spec.by_load:
+        raise ValueError(f"{name} is not kept by load")
     _write(conform(df, spec), root, spec, "overwrite", load_batch)
 
 
@@ -82,6 +90,8 @@ def upsert(spark: SparkSession, root: str, name: str, new: DataFrame, *written:
     Without ``written`` the new rows must have distinct keys.
     """
     spec = TABLES[name]
+    if spec.by_load:
+        raise ValueError(f"{name} is append-only; collapse its versions when reading, with last_write")
     if written:
         new = last_write(new, spec.key, *written)
     rows = conform(new, spec)

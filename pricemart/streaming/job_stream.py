@@ -20,7 +20,7 @@ def start_job_states(spark: SparkSession, landed: str, root: str, checkpoint: st
     events = spark.readStream.schema(JOB_EVENT).json(landed)
 
     def save(changed: DataFrame, batch_id: int) -> None:
-        tables.append_load(changed, root, "ingest_jobs", f"{batch_id:012d}")
+        tables.append_load(changed, root, "ingest_job_changes", f"{batch_id:012d}")
 
     return (
         job_states(events).writeStream.outputMode("update").foreachBatch(save)
@@ -32,4 +32,5 @@ def start_job_states(spark: SparkSession, landed: str, root: str, checkpoint: st
 
 def current_job_states(spark: SparkSession, root: str) -> DataFrame:
     """The last written state of every job."""
-    return newest(tables.scan(spark, root, "ingest_jobs"), ["job_id"], F.col("load_batch").desc()).drop("load_batch")
+    changes = tables.scan(spark, root, "ingest_job_changes", with_load=True)
+    return newest(changes, ["job_id"], F.col("load_batch").desc()).drop("load_batch")

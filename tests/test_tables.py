@@ -24,14 +24,23 @@ def test_append_prices_by_source_and_year(spark, root, prices, tmp_path):
     tables.append(prices({"close_price": Decimal("1.5")}, {"record_date": date(2023, 5, 5)}), root, "prices")
     tables.append(prices({"source_id": "s2"}), root, "prices")
     assert tables.scan(spark, root, "prices").count() == 3
-    assert sorted(p.name for p in (tmp_path / "prices" / "source_id=s1").iterdir()) == ["record_year=2023", "record_year=2024"]
+    years = {p.name for p in (tmp_path / "prices").glob("load_batch=*/source_id=s1/*")}
+    assert years == {"record_year=2023", "record_year=2024"}
 
 
 def test_a_load_written_twice_counts_once(spark, root, prices):
     for _ in range(2):
         tables.append_load(prices({}, {}), root, "prices", "load-1")
     tables.append_load(prices({}), root, "prices", "load-2")
-    assert tables.scan(spark, root, "prices").count() == 3
+    tables.append(prices({}), root, "prices")
+    assert tables.scan(spark, root, "prices").count() == 4
+    assert tables.scan(spark, root, "prices").columns == TABLES["prices"].schema.names
+    loads = tables.scan(spark, root, "prices", with_load=True).select("load_batch").distinct()
+    assert loads.count() == 3
+    with pytest.raises(ValueError):
+        tables.upsert(spark, root, "prices", prices({}))
+    with pytest.raises(ValueError):
+        tables.append_load(prices({}), root, "owners", "load-1")
 
 
 def test_upsert_last_write_wins(spark, root):
