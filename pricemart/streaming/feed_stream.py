@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pricemart.operators.instruments import current_instruments
 from pricemart.plans.jobs import create_missing_instruments, load_records, with_instruments
 from pricemart.schemas import FEED_PAGE
-from pricemart.operators.instruments import current_instruments
 from pricemart.sources import tables
 from pricemart.sources.feed import page_records, with_page_name
 
@@ -25,13 +25,13 @@ def start_feed_load(spark: SparkSession, landed: str, root: str, checkpoint: str
     pages = with_page_name(spark.readStream.schema(schema).json(landed))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        session, now = batch.sparkSession, datetime.now(timezone.utc)
-        records = page_records(batch)
-        create_missing_instruments(session, root, records, now)
-        current = current_instruments(
-            tables.scan(session, root, "financial_instruments"), tables.scan(session, root, "instrument_versions")
-        )
-        load_records(session, root, with_instruments(records, current), now, f"{batch_id:012d}")
+        session = batch.sparkSession
+        # streams run without AQE, but a load is batch work that wants its skew handling and file sizes
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            _load(session, root, page_records(batch), f"{batch_id:012d}")
+        finally:
+            session.conf.set("spark.sql.adaptive.enabled", "false")
 
     return (
         pages.writeStream.foreachBatch(load)
@@ -39,3 +39,12 @@ def start_feed_load(spark: SparkSession, landed: str, root: str, checkpoint: str
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _load(spark: SparkSession, root: str, records: DataFrame, load_batch: str) -> None:
+    now = datetime.now(timezone.utc)
+    create_missing_instruments(spark, root, records, now)
+    current = current_instruments(
+        tables.scan(spark, root, "financial_instruments"), tables.scan(spark, root, "instrument_versions")
+    )
+    load_records(spark, root, with_instruments(records, current), now, load_batch)
