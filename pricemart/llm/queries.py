@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import substring_dedup
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -37,3 +39,32 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
        doc_id = first_value(doc_id) OVER best AS kept, sha256(p) AS text_sha256
 FROM plain WINDOW best AS (PARTITION BY p ORDER BY n DESC, doc_id)
 """
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    passages = substring_dedup.repeated_passages(docs).select(
+        "key", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+    return substring_dedup.for_every_row(docs, passages, "doc_id", "text")
+
+
+SQL["op10_substring_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 34], ' ')) AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM split)),
+repeated AS (SELECT run FROM starts GROUP BY run HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS i
+  FROM (SELECT doc_id, i FROM starts SEMI JOIN repeated USING (run)), (SELECT unnest(range(35)) AS k)),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
