@@ -26,6 +26,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`saved`, as a compressed table: for rows that hold texts."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text_key(text: str = "text") -> Column:
     """16 bytes that name a text; null counts as the empty text."""
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))

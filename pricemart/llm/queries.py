@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from . import substring_dedup
 from .common import table
 from .exact_dedup import exact_groups
+from .near_dedup import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,3 +69,36 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_groups(docs, shingle_words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL["op8_minhash_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ')
+                        ELSE array_to_string(words[i:i + 2], ' ') END AS s
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM split WHERE len(words) > 0))),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

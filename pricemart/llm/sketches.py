@@ -11,12 +11,13 @@ sets too.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 
 from .words import Words, mix
 
-BINS = 128
+BINS = 256
 _EMPTY = np.uint64(2**64 - 1)
 _SEEDS = mix(np.arange(1000, 1000 + 2 * BINS, dtype=np.uint64))
 
@@ -55,19 +56,29 @@ def sketch(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
             break
         value = mix(sets ^ _SEEDS[turn])
         at = (value & np.uint64(BINS - 1)).astype(np.int64) if turn < BINS else turn - BINS
-        np.minimum.at(out, row * BINS + at, np.uint64(turn << 56) | (value >> np.uint64(8)))
+        np.minimum.at(out, row * BINS + at, (np.uint64(turn) << np.uint64(55)) | (value >> np.uint64(9)))
         open_row &= (out.reshape(rows, BINS) == _EMPTY).any(axis=1)
     return out.reshape(rows, BINS)
 
 
-def band_keys(coordinates: np.ndarray, width: int) -> np.ndarray:
-    """One hash for every run of ``width`` coordinates, different in every band."""
-    rows = len(coordinates)
-    bands = coordinates.reshape(rows, BINS // width, width)
-    key = np.broadcast_to(_SEEDS[: BINS // width], bands.shape[:2])
-    for k in range(width):
-        key = mix(key ^ bands[:, :, k])
-    return key
+def sketch_bytes(coordinates: np.ndarray) -> np.ndarray:
+    """One byte for every coordinate; different coordinates share it once in 256 times."""
+    return (mix(coordinates) >> np.uint64(56)).astype(np.uint8)
+
+
+def band_width(similarity: float, miss: float = 1e-8) -> int:
+    """The widest bands with which a pair of this similarity shares no band with probability ``miss`` at most."""
+    return max(w for w in range(1, BINS + 1) if w == 1 or (1 - similarity**w) ** (BINS // w) <= miss)
+
+
+def least_agreement(similarity: float, miss: float = 1e-9) -> int:
+    """How many coordinates a pair of this similarity shares at least, but with probability ``miss``."""
+    below = 0.0
+    for n in range(BINS + 1):
+        below += math.comb(BINS, n) * similarity**n * (1 - similarity) ** (BINS - n)
+        if below > miss:
+            return n
+    return BINS
 
 
 def set_digests(sets: np.ndarray, first: np.ndarray) -> list[bytes | None]:
