@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import line_dedup, substring_dedup
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -102,3 +102,26 @@ least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    by_text = line_dedup.kept_lines(*line_dedup.repeated_lines(docs)).select(
+        "key", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+    return substring_dedup.for_every_row(docs, by_text, "doc_id", "text")
+
+
+SQL["op7_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+repeated AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(repeated.k) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE repeated.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated ON keyed.k = repeated.k GROUP BY doc_id
+"""
