@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +55,12 @@ def repeated_passages(docs: DataFrame, text_column: str = "text", window: int =
     texts = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("key").alias("copies"))
 
     buckets = tasks(spark)
-    probes = texts.select("key", "text").mapInArrow(lambda it: _probes(it, anchor, buckets), _SENT)
+    # every step takes all columns and all rows, so that all read the same exchange
+    probes = texts.mapInArrow(lambda it: _probes(it, anchor, buckets), _SENT)
     found = _dealt(probes, buckets).mapInArrow(_probed, _ANSWERS)
     anchors = _by_text(found, buckets)
 
-    near = texts.select("key", "text").join(anchors, "key")
-    whole = near.mapInArrow(lambda it: _candidates(it, anchor, window, 8 * buckets), _SENT)
+    whole = texts.join(anchors, "key", "left").mapInArrow(lambda it: _candidates(it, anchor, window, 8 * buckets), _SENT)
     found = _dealt(whole, buckets).mapInArrow(_confirmed, _ANSWERS)
     repeats = _by_text(found, buckets)
 
@@ -227,7 +228,7 @@ def _read_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(batches: Iterator[pa.RecordBatch], anchor: int, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """All runs of ``window`` words that hold an anchor, by their whole hash, each once per slice."""
     for batch in batches:
-        for part, data, bounds in slices(batch):
+        for part, data, bounds in slices(batch.filter(pc.is_valid(batch.column("places")))):
             words = Words(data, bounds)
             hits = np.zeros(len(words) + 1, np.int64)
             for r, places in enumerate(part.column("places").to_pylist()):
