@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,10 +76,11 @@ def repeated_lines(
     texts = docs.withColumn("key", text_key()).groupBy("key").agg(
         F.first("text").alias("text"), F.count("key").alias("copies"), F.min("id").alias("first_id")
     )
-    lines = texts.select("key", "text").mapInArrow(lambda it: _lines(it, min_chars), "key binary, hash long")
+    # every step takes all columns and all rows, so that all read the same exchange
+    lines = texts.mapInArrow(lambda it: _lines(it, min_chars), "key binary, hash long")
     hits = lines.join(twice, "hash").groupBy("key").agg(F.collect_list("hash").alias("hashes"))
     suspected = stored(
-        texts.join(hits, "key").select("key", "text", "copies", F.col("first_id").cast("string"), "hashes").mapInArrow(
+        texts.join(hits, "key", "left").withColumn("first_id", F.col("first_id").cast("string")).mapInArrow(
             lambda it: _suspects(it, min_chars), "key binary, line string, copies long, first_id string"
         ), "suspected_lines"
     )
@@ -118,7 +120,8 @@ def kept_lines(texts: DataFrame, suspected: DataFrame, repeated: DataFrame, keep
         F.collect_list(F.struct("line", F.col("first_id").cast("string").alias("first"))).alias("drops")
     )
     id_type = texts.schema["first_id"].dataType.simpleString()
-    return texts.select("key", "text", F.col("first_id").cast("string")).join(drops, "key", "left").mapInArrow(
+    named = texts.join(drops, "key", "left").withColumn("first_id", F.col("first_id").cast("string"))
+    return named.mapInArrow(
         lambda it: _kept(it, keep_first),
         "key binary, first_id string, for_first boolean, n_lines long, n_dropped long, kept string",
     ).withColumn("first_id", F.col("first_id").cast(id_type))
@@ -181,7 +184,9 @@ def _lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.Rec
 def _suspects(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for key, text, copies, first, hashes in zip(*(batch.column(n).to_pylist() for n in batch.schema.names)):
+        batch = batch.filter(pc.is_valid(batch.column("hashes")))
+        columns = (batch.column(n).to_pylist() for n in ("key", "text", "copies", "first_id", "hashes"))
+        for key, text, copies, first, hashes in zip(*columns):
             wanted = {h & (2**64 - 1) for h in hashes}
             out += [(key, k.decode(), copies, first) for k in _distinct(text.encode(), min_chars) if _hash(k) in wanted]
         columns = list(zip(*out)) or [()] * 4

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, substring_dedup
+from . import line_dedup, source_mix, substring_dedup
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -125,3 +125,48 @@ SELECT doc_id, count(*) AS n_lines, count(repeated.k) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE repeated.k IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN repeated ON keyed.k = repeated.k GROUP BY doc_id
 """
+
+
+@query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = source_mix.mixture(table(spark, sf_dir, "documents"))
+    mix = mix.select("row", "doc_id", "size", "source_size", "target", "taken", F.expr("get(draws, 0).time").alias("first_time"))
+    return source_mix.training_order(mix, "first_time").drop("row")
+
+
+def _source_mix_sql() -> str:
+    times = " ".join(
+        f"WHEN {k} THEN {source_mix.time_of('demand', s)}" for k, s in enumerate(source_mix.SCHEDULES)
+    ).replace("D", "::DOUBLE").replace("EN::DOUBLE", "END")
+    return rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(doc_id::VARCHAR) AS h FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((place - 1) % 3 + 1)::BIGINT] AS weight, 3 * source_size AS cap,
+         cap / weight AS level FROM sources),
+shares AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER lower_ones, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER lower_ones, 0)) AS share
+  FROM levels WINDOW lower_ones AS (ORDER BY level, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+unit AS (SELECT arg_min(share, level) AS unit FROM shares WHERE level > share),
+targets AS (
+  SELECT source, place, source_size, least(weight * unit, cap::DOUBLE) AS target, round(target)::BIGINT AS words
+  FROM shares, unit),
+runs AS (
+  SELECT doc_id, size, place, source_size, target, words, words // source_size AS whole,
+         (sum(size) OVER (PARTITION BY place ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+taken AS (
+  SELECT *, whole * size + greatest(0, least(size, words - whole * source_size - start)) AS taken,
+         start / words::DOUBLE AS demand FROM runs)
+SELECT doc_id, size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN CASE (place - 1) % 3 {times} END END AS first_time
+FROM taken
+"""
+
+
+SQL["op1_source_mix"] = _source_mix_sql()
