@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, source_mix, substring_dedup
+from . import chat_format, line_dedup, source_mix, substring_dedup
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -170,3 +170,41 @@ FROM taken
 
 
 SQL["op1_source_mix"] = _source_mix_sql()
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT -7L AS conv_id, t AS turn, r AS role, '{tricky}' AS text "
+                     "FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
+    chats = chat_format.format_chats(chats.unionByName(more))
+    read = chats.select(
+        "conv_id", "n_turns", F.char_length("formatted").cast("long").alias("formatted_chars"),
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        chat_format.read_loss(F.col("segments")).alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+SQL["op3_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+measured AS (
+  SELECT *, length(regexp_replace(text, '[\[<\\]', '12', 'g')) AS escaped,
+         CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 16 WHEN 'assistant' THEN 10
+                   ELSE 20 + length(regexp_replace(role, '[\[<\\]', '12', 'g')) END AS marks FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(escaped + marks))::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id
+"""
