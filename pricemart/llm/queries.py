@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, line_dedup, source_mix, substring_dedup
+from . import chat_format, line_dedup, source_mix, substring_dedup, topk_search
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -208,3 +208,22 @@ SELECT conv_id, count(*) AS n_turns,
        (3 + sum(escaped + marks))::BIGINT AS formatted_chars
 FROM measured GROUP BY conv_id
 """
+
+
+@query
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op2_exact_topk"] = r"""
+WITH parts AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024::DOUBLE * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM parts q, parts c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
