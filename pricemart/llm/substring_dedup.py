@@ -60,7 +60,7 @@ def repeated_passages(docs: DataFrame, text_column: str = "text", window: int =
     found = _dealt(probes, buckets).mapInArrow(_probed, _ANSWERS)
     anchors = _by_text(found, buckets)
 
-    whole = texts.join(anchors, "key", "left").mapInArrow(lambda it: _candidates(it, anchor, window, 8 * buckets), _SENT)
+    whole = texts.join(anchors, "key", "left").mapInArrow(lambda it: _candidates(it, anchor, window, buckets), _SENT)
     found = _dealt(whole, buckets).mapInArrow(_confirmed, _ANSWERS)
     repeats = _by_text(found, buckets)
 
