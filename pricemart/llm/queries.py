@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, line_dedup, source_mix, substring_dedup, topk_search
+from . import chat_format, language_id, line_dedup, pieces, source_mix, substring_dedup, topk_search
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -227,3 +227,27 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+def _fold(id_column: str, folds: int) -> Column:
+    """The remainder of the checksum of an id as text; null for a null id."""
+    return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    samples = language_id.learn(docs, _fold("doc_id", 5) != 0)
+    held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
+    return language_id.predict(docs, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.Vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+    )
