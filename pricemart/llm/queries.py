@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, line_dedup, pieces, source_mix, substring_dedup, topk_search
+from . import chat_format, language_id, line_dedup, pieces, quality, source_mix, substring_dedup, topk_search
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -251,3 +251,13 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
     )
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"), _fold("doc_id", 3) != 1))
+    held_out = F.coalesce(_fold("doc_id", 3) == 1, F.lit(False))
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )

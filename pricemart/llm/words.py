@@ -73,14 +73,21 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of a batch with about SLICE_BYTES of text each, at least one row, with their bytes and row starts."""
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of parts of some bytes."""
+    return _BYTES.between(_BYTES.sums(_CODES[data]), starts, ends)
+
+
+def slices(
+    batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch with about ``size`` bytes of text each, at least one row, with their bytes and row starts."""
     if not batch.num_rows:
         return
     _, bounds = texts_of(batch.column(column))
     lo = 0
     while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + SLICE_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + size, "right")) - 1)
         part = batch.slice(lo, hi - lo)
         yield (part, *texts_of(part.column(column)))
         lo = hi
