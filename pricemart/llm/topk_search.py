@@ -6,9 +6,9 @@ so far as threshold, the terms of smallest range whose ranges together cannot li
 non-essential: the essential postings are traversed in full, the others only for vectors that can still
 compete, which are fewer after every term. Ties at the threshold are kept, so the result is exact.
 
-At scale: vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of the row; every shard gets every query,
-streamed in batches against the vectors it holds, and gives k rows per query; these are merged by a top-k
-window that is limited map-side. The queries are a stated set against all rows, so the work is queries times
+At scale: vectors are dealt by a hash of the row to shards of about ``SHARD_ROWS`` or less, so that every task has
+one; every shard gets every query, streamed in batches against the vectors it holds, and gives k rows per query;
+these are merged by a top-k window that is limited map-side. The queries are a stated set against all rows, so the work is queries times
 rows; no task holds more than a shard and a batch.
 """
 
@@ -60,7 +60,8 @@ def top_k(
         row_number().alias("row"), F.col(id_column).alias("vec_id"), components_of(F.col(vector_column), scale).alias("parts"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).where(F.col("parts").isNotNull()))
-    shards = max(1, math.ceil(rows.count() / shard_rows))
+    n = rows.count()
+    shards = max(1, math.ceil(n / shard_rows), min(tasks(spark), math.ceil(n / _BLOCK_ROWS)))
     held = rows.select(
         F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("side"), "row", "vec_id", "parts"
     )
