@@ -125,7 +125,9 @@ class Parser:
             after = self._table[here.astype(np.int64) * self._width + column]
             ended = after < 0
             again = self._table[self._root * self._width + column]
+            # a byte that no match can begin with is a phrase of its own
             phrases[:, :n] += ended
+            phrases[:, :n] += ended & (again < 0) & (here != self._root)
             state[:, :n] = np.where(ended, np.where(again < 0, self._root, again), after)
         phrases += state != self._root
         per_text = np.stack([np.bincount(row, p, len(sizes)) for p in phrases], axis=1)

@@ -118,7 +118,8 @@ def pool(rows: int, row: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 def logits(layers: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
     w1, b1, w2, b2 = layers
-    return np.tanh(x @ w1 + b1) @ w2 + b2[0]
+    # unlike @, this adds up a row alike in every batch
+    return np.einsum("ij,j->i", np.tanh(np.einsum("ij,jk->ik", x, w1) + b1), w2) + b2[0]
 
 
 def labelled_sample(
