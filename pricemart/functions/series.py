@@ -24,9 +24,6 @@ from pyspark.sql import types as T
 MAX_ROWS_PER_TASK = 4_000_000
 MAX_PIECES = 4096
 
-# top-n with more rows per key than this is ranked in two steps
-SALT_ABOVE = 100
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -66,13 +63,12 @@ def newest(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
 def newest_n(df: DataFrame, keys: Sequence[str], n: int, *order: Column) -> DataFrame:
     """The first ``n`` rows per key in ``order``, limited map-side in the same way.
 
-    With a large ``n`` the rows that many tasks keep for one hot key are too many for the task that
-    ranks them; they are first limited in SALTS groups of their own.
+    The rows that many tasks keep for one hot key are limited once more in groups of their own, as many as
+    the square root of the number of tasks, so neither step gathers more than that many times ``n`` rows.
     """
-    if n > SALT_ABOVE:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(SALTS)))
-        df = _first_rows(salted, [*keys, "_salt"], n, order).drop("_salt")
-    return _first_rows(df, keys, n, order)
+    salts = math.ceil(math.sqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(salts)))
+    return _first_rows(_first_rows(salted, [*keys, "_salt"], n, order).drop("_salt"), keys, n, order)
 
 
 def _hashable(df: DataFrame) -> list[Column]:

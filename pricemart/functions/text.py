@@ -13,15 +13,18 @@ UUID_MARKS = "^[{}]+|[{}]+$|-"
 
 def number_text(value: Column, kind: T.DataType) -> Column:
     """A number as plain decimal text without trailing zeros; null stays null."""
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        value = value.cast("decimal(38,12)")
     text = value.cast("string")
-    return F.when(text.contains("."), F.regexp_replace(text, "\\.?0+$", "")).otherwise(text)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # numbers that no such decimal holds are shown as they are, with an exponent
+        text = F.coalesce(value.try_cast("decimal(38,12)").cast("string"), text)
+    plain = text.contains(".") & ~text.contains("E")
+    return F.when(plain, F.regexp_replace(text, "\\.?0+$", "")).otherwise(text)
 
 
 def two_decimals(value: Column) -> Column:
-    """A number with two decimals, halves rounded to even."""
-    return F.bround(value.cast("decimal(38,16)"), 2).cast("decimal(38,2)").cast("string")
+    """A number with two decimals, halves rounded to even; one that no decimal(38,16) holds as it is."""
+    rounded = F.bround(value.try_cast("decimal(38,16)"), 2).cast("decimal(38,2)").cast("string")
+    return F.coalesce(rounded, value.cast("string"))
 
 
 def or_none(text: Column) -> Column:
@@ -29,9 +32,14 @@ def or_none(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("None"))
 
 
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def normal_symbol(symbol: Column) -> Column:
-    """Symbols compare trimmed and in upper case."""
-    return F.upper(F.trim(symbol))
+    """Symbols compare stripped and in upper case."""
+    return F.upper(stripped(symbol))
 
 
 def is_uuid(text: Column) -> Column:
@@ -50,5 +58,5 @@ def stable_id(*parts: Column) -> Column:
 
 def snippet(text: Column, size: int = 220) -> Column:
     """One line of at most ``size`` characters; longer text ends in three dots."""
-    line = F.trim(F.regexp_replace(text, "\n", " "))
+    line = stripped(F.regexp_replace(text, "\n", " "))
     return F.when(F.length(line) > size, F.concat(F.substring(line, 1, size - 3), F.lit("..."))).otherwise(line)

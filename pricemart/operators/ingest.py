@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricemart.functions.series import newest
 from pricemart.functions.text import stable_id
 from pricemart.schemas import PRICE
 
@@ -26,7 +27,16 @@ DROPPED_FIELDS = ("adj_open", "adj_high", "adj_low", "adj_volume", "ticker")
 KNOWN_FIELDS = ("date", "volume", *DECIMAL_FIELDS, *DROPPED_FIELDS)
 
 LOAD_KEY = ("source_id", "instrument_id")
-INLINE_ERRORS = 1000
+
+#: What a row can be rejected for: how the log calls it, and what its message holds.
+REJECT_KINDS = {
+    "without date": "is missing required 'date' field",
+    "with a date that is no text": "date must be text",
+    "with an unreadable date": "Invalid isoformat string",
+    "with a number that does not fit": " does not fit ",
+    "with a number that is not finite": "is not a finite number",
+    "of no known instrument": "Row names no known instrument",
+}
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _NOT_FINITE = r"(?i)^[+-]?(s?nan[0-9]*|inf|infinity)$"
@@ -116,6 +126,12 @@ def _reject_reason() -> Column:
     return F.concat(F.lit("Row transform error: "), reason)
 
 
+def _once_per_row(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with more columns, which no later filter or projection computes a second time."""
+    made = F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c not in columns), made)
+
+
 def transform_records(records: DataFrame, load_time: datetime | Column) -> DataFrame:
     """Typed price columns for every record, and ``reject_reason`` for those that cannot be stored.
 
@@ -123,7 +139,7 @@ def transform_records(records: DataFrame, load_time: datetime | Column) -> DataF
     """
     stamp = (load_time if isinstance(load_time, Column) else F.lit(load_time)).cast("timestamp")
     record = F.col("record")
-    typed = records.withColumns({
+    typed = _once_per_row(records, {
         "record_date": to_date(record["date"]),
         **{column: to_decimal(record[name]) for name, column in DECIMAL_FIELDS.items()},
         "volume": to_integer(record["volume"]),
@@ -139,6 +155,16 @@ def accepted(transformed: DataFrame) -> DataFrame:
     return transformed.where(F.col("reject_reason").isNull()).drop("record", "reject_reason")
 
 
+def last_of_load(rows: DataFrame) -> DataFrame:
+    """The accepted rows of a load that are left under the price key: the last in page and row order.
+
+    Every map task keeps one row per key before the shuffle.
+    """
+    places = [F.col(c).desc_nulls_last() for c in ("landed", "page", "position") if c in rows.columns]
+    key = ("instrument_id", "source_id", "record_date", "system_date")
+    return newest(rows, key, *places) if places else rows.dropDuplicates(list(key))
+
+
 def load_errors(transformed: DataFrame) -> DataFrame:
     """One row per rejected record, with its whole content and message."""
     kept = [c for c in ("page", "position") if c in transformed.columns]
@@ -147,59 +173,42 @@ def load_errors(transformed: DataFrame) -> DataFrame:
     )
 
 
-def load_log(
-    transformed: DataFrame,
-    duration_ms: int | None = None,
-    failures: DataFrame | None = None,
-    inline_errors: int = INLINE_ERRORS,
-) -> DataFrame:
+def load_log(transformed: DataFrame, duration_ms: int | None = None, failures: DataFrame | None = None) -> DataFrame:
     """One log row per load with fetched, stored and skipped counts.
 
     Rejected rows leave the status at ``success``; only a load listed in ``failures`` (source_id,
-    instrument_id, ingested_at, error) is an ``error``. Messages are joined by "; " in page and row
-    order. The rows are read twice, so a costly input should be persisted. A load with more than ``inline_errors`` rejects would need one text of unbounded size: its
-    message refers to the load errors instead, which hold every message.
+    instrument_id, ingested_at, error) is an ``error``. The message says how many rows were rejected for
+    each of REJECT_KINDS, in that order, and ends with the failure; every single message is a row of the load
+    errors. All of it is counts, combined map-side, whatever the size of a load.
     """
     load = [*LOAD_KEY, "ingested_at"]
-    log_id = stable_id(*(F.col(c) for c in load))
-    counts = transformed.groupBy(*load).agg(
+    reason = F.col("reject_reason")
+    kind = F.coalesce(*(F.when(reason.contains(mark), F.lit(name)) for name, mark in REJECT_KINDS.items()))
+    counts = transformed.withColumn("_kind", kind).groupBy(*load).agg(
         F.count(F.lit(1)).alias("fetched"),
-        F.count_if(F.col("reject_reason").isNull()).alias("stored"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("skipped"),
-    ).withColumn("log_id", log_id)
-    few = counts.where(F.col("skipped").between(1, inline_errors)).select("log_id")
-    place = [F.col(c) for c in ("page", "position") if c in transformed.columns]
-    texts = (
-        transformed.where(F.col("reject_reason").isNotNull())
-        .select(log_id.alias("log_id"), F.struct(*place, "reject_reason").alias("_error"))
-        .join(few, "log_id", "left_semi")
-        .groupBy("log_id")
-        .agg(F.sort_array(F.collect_list("_error")).alias("_errors"))
-        .select("log_id", F.col("_errors.reject_reason").alias("_messages"))
+        F.count_if(reason.isNull()).alias("stored"),
+        F.count_if(reason.isNotNull()).alias("skipped"),
+        *(F.count_if(F.col("_kind") == name).alias(f"_rows_{n}") for n, name in enumerate(REJECT_KINDS)),
     )
     if failures is None:
         counts = counts.withColumn("error", F.lit(None).cast("string"))
     else:
-        failed = failures.select(*load, "error").withColumn("log_id", log_id)
-        counts = counts.join(failed, [*load, "log_id"], "full_outer")
-    many = F.when(
-        F.col("skipped") > inline_errors,
-        F.array(F.concat(F.col("skipped").cast("string"), F.lit(" rows rejected, see the load errors"))),
-    )
-    messages = F.concat(
-        F.coalesce(F.col("_messages"), many, F.array().cast("array<string>")),
-        F.when(F.col("error").isNotNull(), F.array("error")).otherwise(F.array().cast("array<string>")),
-    )
+        counts = counts.join(failures.select(*load, "error"), load, "full_outer")
+    messages = [
+        F.when(F.col(f"_rows_{n}") > 0, F.concat(F.col(f"_rows_{n}").cast("string"), F.lit(f" rows {name}")))
+        for n, name in enumerate(REJECT_KINDS)
+    ]
+    message = F.concat_ws("; ", *messages, "error")
     zero = F.lit(0).cast("bigint")
-    return counts.join(texts, "log_id", "left").select(
+    return counts.select(
         *load,
         F.year("ingested_at").alias("log_year"),
-        "log_id",
+        stable_id(*(F.col(c) for c in load)).alias("log_id"),
         F.when(F.col("error").isNull(), "success").otherwise("error").alias("status"),
         F.coalesce("fetched", zero).alias("fetched"),
         F.coalesce("stored", zero).alias("record_count"),
         F.coalesce("skipped", zero).alias("skipped"),
-        F.when(F.size(messages) > 0, F.array_join(messages, "; ")).alias("error_message"),
+        F.when(message != "", message).alias("error_message"),
         F.lit(duration_ms).cast("bigint").alias("duration_ms"),
     )
 

@@ -69,7 +69,7 @@ def filter_price_history(
     laid out by ``record_year`` a year predicate is added for partition pruning.
     """
     for name, wanted in (("instrument_id", instrument_id), ("source_id", source_id)):
-        if wanted:
+        if wanted not in (None, ""):
             prices = prices.where(F.col(name) == F.lit(str(wanted)).cast(prices.schema[name].dataType))
     by_year = "record_year" in prices.columns
     if start_date:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +38,8 @@ SOME_FAILED = "Some tool calls failed and were ignored for the final summary."
 EVIDENCE_TITLE = "Grounding evidence:"
 EVIDENCE_RUNS = 4
 
-# symbols are short: this many take some ten megabytes in a task
-MAX_SHIPPED_SYMBOLS = 100_000
+#: The numbers of leading characters by which symbols are looked up.
+STEMS = (1, 2, 4)
 
 # fixed values: report sentence per kind of result, with the fields it shows
 REPORT_SENTENCES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -70,62 +69,29 @@ def symbol_dictionary(listing: DataFrame) -> DataFrame:
 
 
 def first_symbol(
-    questions: DataFrame,
-    dictionary: DataFrame,
-    key: Sequence[str],
-    text: str = "user_prompt",
-    max_shipped: int = MAX_SHIPPED_SYMBOLS,
+    questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str = "user_prompt"
 ) -> DataFrame:
     """The first dictionary symbol that occurs anywhere in each question, null if none does.
 
-    Every piece of the text that is as long as some symbol is looked up, so cost grows with the text
-    and not with text times symbols. A dictionary of up to ``max_shipped`` symbols is sent to the
-    tasks and nothing is shuffled; beyond that the pieces are joined with it by equality, where AQE
-    splits a symbol that very many questions name.
+    At every place of a text its next one, two and four characters are looked up among the first characters
+    of the symbols (the longest of STEMS that a symbol has), and what meets is compared in full, so cost grows
+    with the text and not with text times symbols. Equal texts are looked up once; a question keeps its row
+    whatever its key is, null and repeated keys too.
     """
-    dictionary = dictionary.select("symbol", "instrument_id", "position")
-    shipped = dictionary.limit(max_shipped + 1).collect()
-    if len(shipped) > max_shipped:
-        return _first_symbol_by_join(questions, dictionary, key, text)
-    places = {row["symbol"]: row["position"] for row in shipped}
-    lengths = sorted({len(symbol) for symbol in places})
-
-    @F.pandas_udf("string")
-    def find(texts: pd.Series) -> pd.Series:
-        def first(question: str | None) -> str | None:
-            if question is None:
-                return None
-            pieces = {question[i:i + n] for n in lengths for i in range(len(question) - n + 1)}
-            return min(pieces & places.keys(), key=places.__getitem__, default=None)
-
-        return texts.map(first, na_action=None)
-
-    found = questions.select(*key, find(F.upper(text)).alias("symbol"))
-    ids = questions.sparkSession.createDataFrame(shipped, dictionary.schema).select("symbol", "instrument_id")
-    return found.join(F.broadcast(ids), "symbol", "left").select(*key, "symbol", "instrument_id")
-
-
-def _first_symbol_by_join(questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str) -> DataFrame:
-    # one number per symbol length
-    lengths = [row[0] for row in dictionary.select(F.length("symbol")).distinct().collect()]
     upper = F.upper(text)
-    pieces = F.array_distinct(F.flatten(F.array(*(_pieces(upper, n) for n in sorted(lengths)))))
-    looked_up = (
-        questions.select(*key, F.explode(pieces).alias("symbol"))
-        .join(dictionary.select("symbol", "instrument_id", "position"), "symbol")
-        .groupBy(*key)
-        .agg(
-            F.min_by("symbol", "position").alias("symbol"),
-            F.min_by("instrument_id", "position").alias("instrument_id"),
-        )
+    asked = questions.select(upper.alias("asked")).where("asked IS NOT NULL").distinct()
+    stem = F.coalesce(*(F.when(F.length("symbol") >= n, F.substring("symbol", 1, n)) for n in sorted(STEMS, reverse=True)))
+    symbols = dictionary.select("symbol", "instrument_id", "position", stem.alias("stem"))
+    places = asked.where(F.length("asked") > 0).select(
+        "asked", F.explode(F.sequence(F.lit(1), F.length("asked"))).alias("at")
     )
-    return questions.select(*key).join(looked_up, list(key), "left")
-
-
-def _pieces(text: Column, size: int) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1), F.lit(1))
-    cut = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+    stems = F.array(*(F.substring(F.col("asked"), F.col("at"), F.lit(n)) for n in STEMS))
+    pieces = places.select("asked", "at", F.explode(F.array_distinct(stems)).alias("stem"))
+    same = F.substring(F.col("asked"), F.col("at"), F.length("symbol")) == F.col("symbol")
+    found = pieces.join(symbols, "stem").where(same).groupBy("asked").agg(
+        F.min_by("symbol", "position").alias("symbol"), F.min_by("instrument_id", "position").alias("instrument_id")
+    )
+    return questions.withColumn("asked", upper).join(found, "asked", "left").select(*key, "symbol", "instrument_id")
 
 
 def intents(questions: DataFrame, text: str = "user_prompt") -> DataFrame:

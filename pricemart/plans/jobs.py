@@ -77,12 +77,12 @@ def series_regression_job(
     write_prediction: bool = True,
 ) -> dict[str, Any]:
     """Train on one series, save the model and append its prediction."""
-    if not (part.instrument_id and part.source_id):
+    if part.instrument_id in (None, "") or part.source_id in (None, ""):
         raise ValueError("a single-series model needs an instrument and a source")
     features = price_features(daily_prices(spark, root, part)).persist()
     try:
         if latest_features(features).isEmpty():
-            raise ValueError("No row was available for next-close prediction.")
+            raise ValueError("the series has no row with all features, so there is nothing to predict from")
         model, prediction, count, rmse = train_series(features, min_training_rows)
         writer = model.write().overwrite() if overwrite_model else model.write()
         writer.save(model_path)
@@ -149,9 +149,9 @@ def load_records(spark: SparkSession, root: str, records: DataFrame, load_time:
     transformed = ingest.transform_records(records, load_time)
     transformed.persist()
     try:
-        tables.append_load(ingest.accepted(transformed), root, "prices", load_batch)
+        tables.append_load(ingest.last_of_load(ingest.accepted(transformed)), root, "prices", load_batch)
         errors = ingest.load_errors(transformed).withColumn("load_batch", F.lit(load_batch))
-        errors.write.mode("overwrite").partitionBy("load_batch").parquet(tables.table_path(root, "load_errors"))
+        errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch").parquet(tables.table_path(root, "load_errors"))
         took = int((datetime.now(timezone.utc) - load_time).total_seconds() * 1000)
         tables.append_load(ingest.load_log(transformed, took), root, "ingest_log", load_batch)
         sources = tables.scan(spark, root, "data_sources")

@@ -117,7 +117,7 @@ _SPECS = [
             {"instrument_id": TEXT, "source_id": TEXT, "prediction_generated_at": TIME, "model_run_id": TEXT},
             {
                 "last_record_date": T.DateType(), "predicted_next_close": T.DoubleType(), "model_path": TEXT,
-                "training_rows": T.IntegerType(), "training_rmse": T.DoubleType(),
+                "training_rows": T.LongType(), "training_rmse": T.DoubleType(),
             },
         ),
         key=("instrument_id", "source_id", "prediction_generated_at", "model_run_id"),
@@ -138,11 +138,11 @@ _SPECS = [
         _struct(
             {"source_id": TEXT, "log_year": T.IntegerType(), "ingested_at": TIME},
             {
-                "log_id": TEXT, "instrument_id": TEXT, "status": TEXT, "record_count": T.IntegerType(),
+                "log_id": TEXT, "instrument_id": TEXT, "status": TEXT, "record_count": T.LongType(),
                 "error_message": TEXT, "duration_ms": T.LongType(),
             },
         ),
-        key=("source_id", "log_year", "ingested_at"), group=("source_id", "log_year"),
+        key=("source_id", "log_year", "ingested_at", "log_id"), group=("source_id", "log_year"),
         newest_by=("ingested_at",), partition_by=("log_year",), delete="keep", by_load=True,
     ),
     TableSpec(

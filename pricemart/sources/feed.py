@@ -18,8 +18,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_page_name(pages: DataFrame) -> DataFrame:
+    """``page`` names the file and cursor; ``landed`` orders pages by file and part of the file."""
     cursor = F.coalesce(F.col("meta.next_cursor_id"), F.lit(""))
-    return pages.withColumn("page", F.concat(F.col("_metadata.file_path"), F.lit("#"), cursor))
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return pages.withColumns({
+        "page": F.concat(path, F.lit("#"), cursor), "landed": F.struct(path.alias("file"), start.alias("start")),
+    })
 
 
 def parse_pages(documents: DataFrame, text: str) -> DataFrame:
@@ -36,6 +40,9 @@ def page_records(pages: DataFrame) -> DataFrame:
 
     Names and values pair up to the shorter of the two; a repeated name keeps its last value.
     """
+    if "landed" in pages.columns:
+        # within a part of a file, lines are numbered as they come
+        pages = pages.withColumn("landed", F.struct("landed.*", F.monotonically_increasing_id().alias("line")))
     kept = [c for c in pages.columns if c not in ("datatable", "meta")]
     rows = pages.select(
         *kept,

@@ -45,7 +45,10 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     ))
 
 
-def _write(df: DataFrame, root: str, spec: TableSpec, mode: str, load_batch: str | None = None) -> None:
+def _write(
+    df: DataFrame, root: str, spec: TableSpec, mode: str, load_batch: str | None = None, whole: bool = False
+) -> None:
+    """Overwriting replaces the partitions that ``df`` has, or the ``whole`` table, whatever the session says."""
     partitions = list(spec.partition_by)
     if partitions:
         # AQE sizes the output files and splits a partition value that holds much of the data
@@ -53,7 +56,7 @@ def _write(df: DataFrame, root: str, spec: TableSpec, mode: str, load_batch: str
     if load_batch is not None:
         df = df.withColumn("load_batch", F.lit(load_batch))
         partitions = ["load_batch", *partitions]
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(table_path(root, spec.name))
@@ -102,10 +105,10 @@ def upsert(spark: SparkSession, root: str, name: str, new: DataFrame, *written:
     _replace(spark, merged(old, rows, spec.key), root, spec)
 
 
-def _replace(spark: SparkSession, rows: DataFrame, root: str, spec: TableSpec) -> None:
+def _replace(spark: SparkSession, rows: DataFrame, root: str, spec: TableSpec, whole: bool = False) -> None:
     # the new content is on shared storage before the old one is overwritten
     shared_dir(spark)
-    _write(conform(rows.checkpoint(), spec), root, spec, "overwrite")
+    _write(conform(rows.checkpoint(), spec), root, spec, "overwrite", whole=whole)
 
 
 def delete(spark: SparkSession, root: str, name: str, keys: DataFrame) -> None:
@@ -121,7 +124,8 @@ def delete(spark: SparkSession, root: str, name: str, keys: DataFrame) -> None:
     if not columns:
         raise ValueError(f"keys must name at least one of {spec.key}")
     kept = scan(spark, root, name).join(keys.select(*columns).distinct(), columns, "left_anti")
-    _replace(spark, kept, root, spec)
+    # a partition that lost all its rows goes too
+    _replace(spark, kept, root, spec, whole=True)
 
 
 def latest(rows: DataFrame, name: str) -> DataFrame:

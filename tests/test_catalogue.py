@@ -5,8 +5,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import rows_of
+from pricemart.plans.catalogue import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,15 +24,15 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, db, name):
-    frame = queries()[name](spark, FOLDER)
-    result = db.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, FOLDER)
+    result = db.execute(SQL[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(frame.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, result.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_has_rows(spark, name):
-    assert queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0

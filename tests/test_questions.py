@@ -6,10 +6,10 @@ import pytest
 from pricemart.operators import metrics
 from pricemart.operators import questions as ops
 
-LISTING = [("MSFT", "1", 0), ("aapl", "2", 1), ("DEMO", "3", 2), ("", "4", 3), ("msft", "5", 4)]
+LISTING = [("QZ", "1", 0), ("kobold", "2", 1), ("ZZORB", "3", 2), ("", "4", 3), ("qz", "7", 4), ("7", "8", 5), ("zzo", "9", 6)]
 ASKED = [
-    (1, "Summarize the trend for AAPL."), (2, "what is the trend for msft?"), (3, "compare AAPL and MSFT"),
-    (4, "show me the data"), (5, None), (6, "predemographic"), (7, ""), (8, "x" * 5000 + "DeMo"),
+    (1, "Has Kobold fallen since May?"), (2, "tell me about qz"), (3, "is kobold ahead of QZ"),
+    (4, "any news at all"), (5, None), (6, "unzzorbed"), (7, ""), (8, "y" * 5000 + "ZzOrB"), (9, "pizzo"), (10, "7"),
 ]
 
 
@@ -19,15 +19,21 @@ def dictionary(spark):
 
 
 def test_dictionary_keeps_first_place_and_last_id(dictionary):
-    assert sorted(tuple(r) for r in dictionary.collect()) == [("AAPL", "2", 1), ("DEMO", "3", 2), ("MSFT", "5", 0)]
+    assert sorted(tuple(r) for r in dictionary.collect()) == [
+        ("7", "8", 5), ("KOBOLD", "2", 1), ("QZ", "7", 0), ("ZZO", "9", 6), ("ZZORB", "3", 2)]
 
 
-@pytest.mark.parametrize("max_shipped", [100, 3, 2])
-def test_first_symbol(spark, dictionary, max_shipped):
-    """Shipped and joined look-ups give the same: the first listed symbol found anywhere in the text."""
+def test_first_symbol(spark, dictionary):
+    """The first listed symbol found anywhere in the text."""
     asked = spark.createDataFrame(ASKED, "q int, user_prompt string")
-    got = {r.q: r.instrument_id for r in ops.first_symbol(asked, dictionary, ["q"], max_shipped=max_shipped).collect()}
-    assert got == {1: "2", 2: "5", 3: "5", 4: None, 5: None, 6: "3", 7: None, 8: "3"}
+    got = {r.q: r.instrument_id for r in ops.first_symbol(asked, dictionary, ["q"]).collect()}
+    assert got == {1: "2", 2: "7", 3: "7", 4: None, 5: None, 6: "3", 7: None, 8: "3", 9: "9", 10: "8"}
+
+
+def test_first_symbol_of_repeated_and_null_keys(spark, dictionary):
+    asked = spark.createDataFrame([(1, "kobold?"), (1, "qz again"), (None, "zzorb"), (None, "none")], "q int, user_prompt string")
+    got = sorted((str(r.q), str(r.symbol)) for r in ops.first_symbol(asked, dictionary, ["q"]).collect())
+    assert got == [("1", "KOBOLD"), ("1", "QZ"), ("None", "None"), ("None", "ZZORB")]
 
 
 def test_first_symbol_with_empty_dictionary(spark, dictionary):
