@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def ordered_scan(
         return df.select("*", *(_in_window(spec, window).alias(name) for name, spec in columns.items()))
 
     keys = list(series.keys)
-    pieces = df.join(F.broadcast(cuts), keys, "left").withColumn(
+    pieces = _left_join(df, cuts, keys).withColumn(
         "_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_number_below(F.col("_cuts"), series.position))
     )
     window = Window.partitionBy(*keys, "_piece").orderBy(*series.order)
@@ -115,7 +116,7 @@ def ordered_scan(
         *(_carry(spec, F.col(f"_all_{name}")).over(before).alias(f"_before_{name}") for name, spec in columns.items()),
     )
     # the rows already lie by series and piece, so whichever join Spark picks they are not moved again
-    joined = local.join(carried, keys + ["_piece"], "left")
+    joined = _left_join(local, carried, keys + ["_piece"])
     return joined.select(
         *(F.col(f"`{c}`") for c in df.columns),
         *(
@@ -125,6 +126,13 @@ def ordered_scan(
     )
 
 
+def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """A left (or left semi) join in which null keys meet null keys."""
+    side = side.select(*(F.col(f"`{c}`").alias(f"_side_{c}" if c in keys else c) for c in side.columns))
+    same = reduce(lambda a, b: a & b, (df[k].eqNullSafe(side[f"_side_{k}"]) for k in keys))
+    return df.join(side, same, how).drop(*(f"_side_{k}" for k in keys))
+
+
 def _in_window(spec: tuple[str, str], window) -> Column:
     kind, value = spec
     if kind == "previous":
@@ -167,7 +175,7 @@ def _cuts_of_long_series(df: DataFrame, series: SeriesOrder, max_rows: int) -> D
     long_keys = spark.createDataFrame([tuple(k) for k in wanted], T.StructType(key_fields))
     shares = [i / pieces for i in range(1, pieces)]
     sketches = (
-        df.join(F.broadcast(long_keys), keys, "left_semi")
+        _left_join(df, long_keys, keys, "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(series.position, shares, max(10_000, 4 * pieces)).alias("_cuts"))
         .collect()
