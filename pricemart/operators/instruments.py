@@ -7,7 +7,7 @@ even if that lies in the future.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -35,12 +35,20 @@ _SNAPSHOT = T.StructType([T.StructField(name, T.StringType()) for name in INSTRU
 _JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def _written(versions: DataFrame) -> tuple[Column, ...]:
+    """What orders versions of one instrument and time: when they were written; ids settle the rest."""
+    when = [F.col("written_at")] if "written_at" in versions.columns else []
+    return (*when, F.col("version_id"))
+
+
+def _last_written_first(versions: DataFrame) -> list[Column]:
+    return [c.desc_nulls_last() for c in _written(versions)]
+
+
 def _newest_version(versions: DataFrame) -> DataFrame:
-    # versions of one (instrument, valid_from) are one row, the last written; ids break ties for good
-    return newest(
-        versions.select("instrument_id", "valid_from", "version_id", "is_delete_marker", "snapshot"),
-        ["instrument_id"],
-        F.col("valid_from").desc(), F.col("version_id").desc(),
+    # versions of one (instrument, valid_from) are one row, the last written
+    return newest(versions, ["instrument_id"], F.col("valid_from").desc(), *_last_written_first(versions)).select(
+        "instrument_id", "valid_from", "version_id", "is_delete_marker", "snapshot"
     )
 
 
@@ -119,7 +127,7 @@ def version_history(versions: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> D
 
     Versions with the same key and time are one row, the last written.
     """
-    rows = newest(versions, ["instrument_id", "valid_from"], F.col("version_id").desc())
+    rows = newest(versions, ["instrument_id", "valid_from"], *_last_written_first(versions))
     newest_first = SeriesOrder(
         ("instrument_id",), (-F.unix_micros("valid_from"),), -F.unix_seconds("valid_from")
     )
@@ -129,7 +137,7 @@ def version_history(versions: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> D
 
 def newest_versions(versions: DataFrame, n: int) -> DataFrame:
     """The newest ``n`` versions of every instrument."""
-    rows = newest(versions, ["instrument_id", "valid_from"], F.col("version_id").desc())
+    rows = newest(versions, ["instrument_id", "valid_from"], *_last_written_first(versions))
     return newest_n(rows, ["instrument_id"], n, F.col("valid_from").desc())
 
 
@@ -138,13 +146,14 @@ def instruments_as_of(
 ) -> DataFrame:
     """For each request (instrument_id, known_at) the instrument as of then, absent if deleted (extension)."""
     line = versions.select(
-        "instrument_id", F.col("valid_from").alias("known_at"), F.lit(0).alias("_request"), "version_id",
+        "instrument_id", F.col("valid_from").alias("known_at"), F.lit(0).alias("_request"),
+        F.struct(*_written(versions)).alias("_written"),
         F.struct("is_delete_marker", "snapshot").alias("_version"),
     ).unionByName(
         requests.select("instrument_id", "known_at", F.lit(1).alias("_request")), allowMissingColumns=True
     )
     # of versions with the same time the last written comes last
-    place = (F.col("known_at"), F.col("_request"), F.col("version_id"))
+    place = (F.col("known_at"), F.col("_request"), F.col("_written"))
     order = SeriesOrder(("instrument_id",), place, F.unix_micros("known_at"))
     merged = ordered_scan(line, order, {"_known": last_known("_version")}, max_rows).where(F.col("_request") == 1)
     live = merged.where(~F.coalesce(F.col("_known.is_delete_marker"), F.lit(False)))
@@ -158,20 +167,24 @@ def snapshot_json(frame: DataFrame) -> Column:
     return F.to_json(fields, {"ignoreNullFields": "false", "timestampFormat": _JSON_TIME})
 
 
-def save_instruments(entities: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+def save_instruments(
+    entities: DataFrame, base: DataFrame, written_at: datetime | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(new base rows, new versions) to append for whole instruments, one row per id.
 
-    An id without a base row is a ``create``; any other gets a version only.
+    An id without a base row is a ``create``; any other gets a version only. Of versions with the same
+    ``created_at`` the one with the later ``written_at`` (now, if not given) counts.
     """
     known = base.select("instrument_id", F.lit(True).alias("_known"))
     marked = entities.join(known, "instrument_id", "left")
     created = marked.where(F.col("_known").isNull()).select("instrument_id", *INSTRUMENT_FIELDS)
     change = F.when(F.col("_known").isNull(), "create").otherwise("update")
-    return created, _versions(marked, F.col("created_at"), change, False, snapshot_json(marked))
+    return created, _versions(marked, F.col("created_at"), change, False, snapshot_json(marked), written_at=written_at)
 
 
 def delete_markers(
-    requests: DataFrame, base: DataFrame, deleted_at: datetime, changed_by: str = "system"
+    requests: DataFrame, base: DataFrame, deleted_at: datetime, changed_by: str = "system",
+    written_at: datetime | None = None,
 ) -> DataFrame:
     """Delete markers to append for requested ids that have a base row.
 
@@ -180,21 +193,24 @@ def delete_markers(
     now = F.lit(deleted_at).cast("timestamp")
     valid_from = F.coalesce("valid_from", now) if "valid_from" in requests.columns else now
     found = requests.join(base.select("instrument_id"), "instrument_id", "left_semi")
-    return _versions(found, valid_from, F.lit("delete_marker"), True, F.lit(None).cast("string"), changed_by)
+    return _versions(found, valid_from, F.lit("delete_marker"), True, F.lit(None).cast("string"), changed_by, written_at)
 
 
 def _versions(
-    rows: DataFrame, valid_from: Column, change: Column, marker: bool, snapshot: Column, changed_by: str = "system"
+    rows: DataFrame, valid_from: Column, change: Column, marker: bool, snapshot: Column, changed_by: str = "system",
+    written_at: datetime | None = None,
 ) -> DataFrame:
+    written = F.lit(written_at or datetime.now(timezone.utc)).cast("timestamp")
     return rows.select(
         "instrument_id",
         valid_from.alias("valid_from"),
-        stable_id(F.col("instrument_id"), F.unix_micros(valid_from), change).alias("version_id"),
+        stable_id(F.col("instrument_id"), F.unix_micros(valid_from), change, F.unix_micros(written)).alias("version_id"),
         change.alias("change_type"),
         F.lit(marker).alias("is_delete_marker"),
         snapshot.alias("snapshot"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(changed_by).alias("changed_by"),
+        written.alias("written_at"),
     )
 
 

@@ -136,7 +136,7 @@ def create_missing_instruments(spark: SparkSession, root: str, records: DataFram
     _, created = resolve_instruments(requests, current_instruments(base, versions), load_time)
     shared_dir(spark)
     created = created.checkpoint()
-    new_base, new_versions = save_instruments(created, base)
+    new_base, new_versions = save_instruments(created, base, load_time)
     tables.append(new_versions, root, "instrument_versions")
     tables.append(new_base, root, "financial_instruments")
 

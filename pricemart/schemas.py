@@ -64,7 +64,10 @@ _SPECS = [
         "instrument_versions",
         _struct(
             {"instrument_id": TEXT, "valid_from": TIME, "version_id": TEXT, "change_type": TEXT},
-            {"is_delete_marker": T.BooleanType(), "snapshot": TEXT, "valid_to": TIME, "changed_by": TEXT},
+            {
+                "is_delete_marker": T.BooleanType(), "snapshot": TEXT, "valid_to": TIME, "changed_by": TEXT,
+                "written_at": TIME,
+            },
         ),
         key=("instrument_id", "valid_from"), group=("instrument_id",), newest_by=("valid_from",), delete="keep",
     ),

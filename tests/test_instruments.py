@@ -161,3 +161,20 @@ def test_resolve_or_create(spark):
     )
     again, _ = ops.resolve_instruments(asked, current, utc(2024, 6, 1))
     assert {r.request_order: r.instrument_id for r in again.collect()} == ids, "a rerun gives the same ids"
+
+
+def test_of_equal_times_the_last_written_version_counts(spark):
+    base = base_of(spark)
+    schema = base.schema
+    rows = {name: spark.createDataFrame([tuple({"instrument_id": "i", "symbol": name, "created_at": utc(2024, 1, 1)}.get(f.name) for f in schema)], schema)
+            for name in ("first", "second", "third")}
+    made, versions = ops.save_instruments(rows["first"], base, utc(2024, 5, 1))
+    for n, name in enumerate(("second", "third")):
+        versions = versions.unionByName(ops.save_instruments(rows[name], made, utc(2024, 5, 2 + n))[1])
+    assert versions.select("version_id").distinct().count() == 3
+    assert ops.current_instruments(made, versions).first().symbol == "third"
+    assert ops.version_history(versions).first().written_at == utc(2024, 5, 3).replace(tzinfo=None)
+    asked = spark.createDataFrame([("i", utc(2024, 6, 1))], "instrument_id string, known_at timestamp")
+    assert ops.instruments_as_of(made, versions, asked).first().symbol == "third"
+    gone = ops.delete_markers(made.select("instrument_id"), made, utc(2024, 1, 1), written_at=utc(2024, 5, 9))
+    assert ops.current_instruments(made, versions.unionByName(gone)).count() == 0
