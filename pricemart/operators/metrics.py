@@ -77,15 +77,15 @@ def aggregates(prices: DataFrame, versions: str = "all", requested: DataFrame |
     Rows without a close count as rows only. ``requested`` series without any row report zero.
     """
     found = points_of(prices, versions).groupBy(*SERIES).agg(*_aggregate_columns())
+    return _with_requested(found, requested, "count", "total_volume")
+
+
+def _with_requested(found: DataFrame, requested: DataFrame | None, *zero: str) -> DataFrame:
+    """``found`` for every requested series, or as it is; a series without rows has nulls, and 0 in ``zero``."""
     if requested is None:
         return found
-    return (
-        requested.select(*SERIES).distinct().join(found, list(SERIES), "left")
-        .withColumns({
-            "count": F.coalesce("count", F.lit(0)),
-            "total_volume": F.coalesce("total_volume", F.lit(0)),
-        })
-    )
+    rows = requested.select(*SERIES).distinct().join(found, list(SERIES), "left")
+    return rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
 
 
 def _first_and_last(points: DataFrame) -> list[Column]:
@@ -110,18 +110,22 @@ def _trend_columns() -> dict[str, Column]:
     }
 
 
-def trend(prices: DataFrame, versions: str = "all") -> DataFrame:
-    """First and last close of the range, the change between them and its direction."""
+def trend(prices: DataFrame, versions: str = "all", requested: DataFrame | None = None) -> DataFrame:
+    """First and last close of the range, the change between them and its direction.
+
+    ``requested`` series without any row are flat.
+    """
     points = points_of(prices, versions)
-    ends = points.groupBy(*SERIES).agg(*_first_and_last(points))
+    ends = _with_requested(points.groupBy(*SERIES).agg(*_first_and_last(points)), requested)
     return ends.select(*SERIES, *(c.alias(name) for name, c in _trend_columns().items()))
 
 
-def forecast(prices: DataFrame, versions: str = "all") -> DataFrame:
-    """The last close, taken as the next one."""
+def forecast(prices: DataFrame, versions: str = "all", requested: DataFrame | None = None) -> DataFrame:
+    """The last close, taken as the next one; none for ``requested`` series without any row."""
     points = points_of(prices, versions)
     place = F.when(F.col("close_price").isNotNull(), _rank(points))
-    return points.groupBy(*SERIES).agg(F.max_by("close_price", place).alias("predicted_next_close")).select(
+    last = points.groupBy(*SERIES).agg(F.max_by("close_price", place).alias("predicted_next_close"))
+    return _with_requested(last, requested).select(
         *SERIES, F.lit(FORECAST_METHOD).alias("method"), "predicted_next_close"
     )
 
@@ -181,10 +185,15 @@ def _risk_columns() -> dict[str, Column]:
     }
 
 
-def risk_signal(prices: DataFrame, versions: str = "all", max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Volatility (mean absolute return), maximum drawdown and the risk class from both."""
+def risk_signal(
+    prices: DataFrame, versions: str = "all", max_rows: int = MAX_ROWS_PER_TASK, requested: DataFrame | None = None
+) -> DataFrame:
+    """Volatility (mean absolute return), maximum drawdown and the risk class from both.
+
+    ``requested`` series without any row have insufficient data.
+    """
     steps = price_steps(points_of(prices, versions), max_rows)
-    return steps.groupBy(*SERIES).agg(*_risk_inputs()).select(
+    return _with_requested(steps.groupBy(*SERIES).agg(*_risk_inputs()), requested).select(
         *SERIES, *(c.alias(name) for name, c in _risk_columns().items())
     )
 
@@ -226,14 +235,18 @@ def metrics_report(
     end_date: date | None = None,
     versions: str = "all",
     max_rows: int = MAX_ROWS_PER_TASK,
+    requested: DataFrame | None = None,
 ) -> DataFrame:
-    """Aggregates, trend, forecast and risk of every series in a date range, in one pass over the rows."""
+    """Aggregates, trend, forecast and risk of every series in a date range, in one pass over the rows.
+
+    ``requested`` series without any row are reported as each of these does.
+    """
     start, end = default_range(start_date, end_date)
     points = points_of(scan_range(prices, start, end), versions)
     steps = price_steps(points, max_rows)
     _, *risk_inputs = _risk_inputs()
     totals = steps.groupBy(*SERIES).agg(*_aggregate_columns(), *_first_and_last(points), *risk_inputs)
-    return totals.select(
+    return _with_requested(totals, requested, "count", "total_volume").select(
         *SERIES,
         F.lit(start).alias("start_date"), F.lit(end).alias("end_date"),
         "count", "min_close", "max_close", "avg_close", "total_volume",

@@ -349,14 +349,14 @@ def aggregates_requested(spark, folder):
     return found.select(*IDS, "count", rounded("avg_close"), "total_volume")
 
 
-def _trend_sql(rows: str, order: str) -> str:
+def _trend_sql(rows: str, order: str, series: str | None = None) -> str:
     return f"""
 , o AS (SELECT *, row_number() OVER (PARTITION BY instrument_id, source_id ORDER BY {order}) AS a,
                count(*) OVER (PARTITION BY instrument_id, source_id) AS n
         FROM {rows} WHERE close_price IS NOT NULL),
 e AS (SELECT instrument_id, source_id, max(n) AS n, max(CASE WHEN a = 1 THEN close_price END) AS s,
              max(CASE WHEN a = n THEN close_price END) AS e FROM o GROUP BY ALL),
-series AS (SELECT DISTINCT instrument_id, source_id FROM {rows})
+series AS (SELECT DISTINCT instrument_id, source_id FROM {series or rows})
 SELECT instrument_id, source_id,
        CASE WHEN n >= 2 AND e > s THEN 'up' WHEN n >= 2 AND e < s THEN 'down' ELSE 'flat' END AS direction,
        round(CASE WHEN n >= 2 THEN s END, 6) AS start_close, round(CASE WHEN n >= 2 THEN e END, 6) AS end_close,
@@ -375,6 +375,29 @@ def trend(spark, folder):
     return _trend(metrics.trend(driver.event_prices(spark, folder)))
 
 
+#: Prices of the last days of January; series of the month without any are requested too.
+LATE = EVENTS + ", late AS (SELECT * FROM ep WHERE record_date >= DATE '2024-01-25')"
+LATE_START = date(2024, 1, 25)
+
+
+@query(LATE + _trend_sql("late", "record_date, system_us DESC", "ep"))
+def trend_requested(spark, folder):
+    rows = driver.event_prices(spark, folder)
+    return _trend(metrics.trend(prices.scan_range(rows, LATE_START), requested=rows))
+
+
+@query(LATE + """, o AS (
+  SELECT *, row_number() OVER (PARTITION BY instrument_id, source_id ORDER BY record_date DESC, system_us) AS b
+  FROM late WHERE close_price IS NOT NULL)
+SELECT instrument_id, source_id, 'naive_last_close' AS method, round(o.close_price, 6) AS predicted_next_close
+FROM (SELECT DISTINCT instrument_id, source_id FROM ep)
+LEFT JOIN (SELECT * FROM o WHERE b = 1) o USING (instrument_id, source_id)""")
+def forecast_requested(spark, folder):
+    rows = driver.event_prices(spark, folder)
+    found = metrics.forecast(prices.scan_range(rows, LATE_START), requested=rows)
+    return found.select(*IDS, "method", rounded("predicted_next_close"))
+
+
 @query(EVENTS_DAILY + _trend_sql("ep_daily", "record_date"))
 def trend_latest(spark, folder):
     return _trend(metrics.trend(driver.event_prices(spark, folder), "latest"))
@@ -421,7 +444,7 @@ def returns_latest(spark, folder):
     return found.select(*IDS, day(), rounded("close_price"), rounded("previous_close"), rounded("return_pct"))
 
 
-def _risk_sql(rows: str, digits: int) -> str:
+def _risk_sql(rows: str, digits: int, series: str | None = None) -> str:
     return f"""
 , m AS (SELECT instrument_id, source_id, count(*) AS n, avg(CASE WHEN p <> 0 THEN abs((close_price - p) / p * 100) END) AS v,
                greatest(CAST(0 AS DOUBLE), max(CASE WHEN peak <> 0 THEN (peak - close_price) / peak * 100 END)) AS d
@@ -430,7 +453,7 @@ r AS (SELECT series.instrument_id, series.source_id, coalesce(n, 0) AS n, v, d,
              CASE WHEN coalesce(n, 0) < 2 THEN 'insufficient_data'
                   WHEN round(coalesce(v, 0), 10) >= 3 OR round(d, 10) >= 15 THEN 'high'
                   WHEN round(coalesce(v, 0), 10) >= 1 OR round(d, 10) >= 5 THEN 'medium' ELSE 'low' END AS signal
-      FROM (SELECT DISTINCT instrument_id, source_id FROM {rows}) series LEFT JOIN m USING (instrument_id, source_id))
+      FROM (SELECT DISTINCT instrument_id, source_id FROM {series or rows}) series LEFT JOIN m USING (instrument_id, source_id))
 SELECT instrument_id, source_id, signal, round(CASE WHEN n >= 2 THEN v END, {digits}) AS volatility_pct,
        round(CASE WHEN n >= 2 THEN d END, {digits}) AS max_drawdown_pct,
        CASE WHEN n < 2 THEN 'Need at least two close values to estimate risk.'
@@ -449,6 +472,12 @@ def risk_signal(spark, folder):
     return _risk(metrics.risk_signal(driver.event_prices(spark, folder)), 6)
 
 
+@query(LATE + _steps_sql("late", "record_date, system_us DESC") + _risk_sql("late", 6, "ep"))
+def risk_requested(spark, folder):
+    rows = driver.event_prices(spark, folder)
+    return _risk(metrics.risk_signal(prices.scan_range(rows, LATE_START), requested=rows), 6)
+
+
 @query(EVENTS_DAILY + _steps_sql("ep_daily", "record_date") + _risk_sql("ep_daily", 6))
 def risk_signal_latest(spark, folder):
     return _risk(metrics.risk_signal(driver.event_prices(spark, folder), "latest"), 6)

@@ -144,3 +144,22 @@ def test_report_range_is_inclusive_and_may_be_empty(prices):
     rows = prices(*closes(1, 2, 3, 4))
     assert one(metrics.metrics_report(rows, date(2024, 1, 2), date(2024, 1, 3)))["count"] == 2
     assert metrics.metrics_report(rows, date(2024, 1, 3), date(2024, 1, 2)).collect() == []
+
+
+def test_requested_series_without_rows(spark, prices):
+    rows = prices({"close_price": Decimal(2)}, {"close_price": Decimal(3)})
+    asked = rows.select("instrument_id", "source_id").unionByName(spark.createDataFrame([("none", "s1")], "instrument_id string, source_id string"))
+    gone = {name: {r.instrument_id: r for r in frame.collect()}["none"] for name, frame in {
+        "trend": metrics.trend(rows, requested=asked), "forecast": metrics.forecast(rows, requested=asked),
+        "risk": metrics.risk_signal(rows, requested=asked), "report": metrics.metrics_report(rows, requested=asked),
+    }.items()}
+    assert (gone["trend"].direction, gone["trend"].start_close) == ("flat", None)
+    assert (gone["forecast"].method, gone["forecast"].predicted_next_close) == ("naive_last_close", None)
+    assert (gone["risk"].signal, gone["risk"].volatility_pct) == ("insufficient_data", None)
+    report = gone["report"]
+    assert (report["count"], report.total_volume, report.direction, report.signal) == (0, 0, "flat", "insufficient_data")
+
+
+def test_extreme_closes_do_not_end_the_report(prices):
+    rows = prices({"close_price": Decimal("1e-18")}, {"close_price": Decimal(10) ** 9})
+    assert metrics.risk_signal(rows).first().signal == "high"
