@@ -3,8 +3,8 @@
 The vocabulary comes from a model file, its scores as they stand there. Spaces become the marker U+2581 and
 one marker is put before the text. The best path is the one of highest total score; where no piece covers a
 character it goes by its UTF-8 bytes, as does a U+2581 of the text itself, so decoding gives back every text
-exactly. As pieces hold the marker only at their start, the path is found word by word, and a task keeps the
-paths of up to ``REMEMBERED`` words.
+exactly. As pieces hold the marker only at their start, the path is found word by word, for all new words of a
+group of texts in step, and a task keeps the paths of about ``REMEMBERED`` words.
 
 At scale: encoding and decoding work row by row, without any shuffle; what is sent to the tasks is the
 vocabulary.
@@ -23,6 +23,10 @@ from pyspark.sql import types as T
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 200_000
+GROUP_CHARS = 1_000_000
+#: Longer words, in bytes, are found one by one.
+LONG_WORD = 64
+_AT_ONCE = 8192
 
 _MARK = "▁"
 _UNKNOWN_BELOW_LEAST = 10.0
@@ -113,7 +117,7 @@ class Vocabulary:
         return {k: v for k, v in self.__dict__.items() if k != "encoder"}
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encoder.packed(text), "<i4").tolist()
+        return np.frombuffer(self.encoder.packed([text])[0], "<i4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace")
@@ -121,31 +125,99 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """The ids of words, packed as 32-bit numbers; new ones are found, old ones forgotten when there are too many."""
+    """The ids of words, packed as 32-bit numbers; new ones are found, all are forgotten when there are too many."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self._vocabulary, self._words = vocabulary, re.compile(vocabulary.words)
+        trie = vocabulary.trie
+        self._base, self._check, self._value = (np.array(x, np.int32) for x in (trie.base, trie.check, trie.value))
+        self._scores = np.array(vocabulary.scores)
         self._own_mark = np.array([vocabulary.byte_ids[b] for b in _MARK.encode()], "<i4").tobytes()
 
-    def packed(self, text: str) -> bytes:
+    def packed(self, texts: list[str | None]) -> list[bytes | None]:
+        """The packed ids of every text; the words of about GROUP_CHARS characters of text are found together."""
+        out, lo = [], 0
+        while lo < len(texts):
+            hi, chars = lo, 0
+            while hi < len(texts) and (hi == lo or chars < GROUP_CHARS):
+                chars, hi = chars + len(texts[hi] or ""), hi + 1
+            split = [None if t is None else self._split(t) for t in texts[lo:hi]]
+            self._find(split)
+            out += [None if words is None else b"".join(map(self.__getitem__, words)) for words in split]
+            lo = hi
+        return out
+
+    def _split(self, text: str) -> list[str | None]:
+        """The words of a text; None stands for a marker that the text itself has."""
         if not text:
-            return b""
-        if _MARK in text:
-            first, *others = text.split(_MARK)
-            return self._part(_MARK + first) + b"".join(self._own_mark + self._part(p) for p in others)
-        return self._part(_MARK + text)
-
-    def _part(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self._words.findall(text.replace(" ", _MARK))))
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+            return []
+        first, *others = text.split(_MARK)
+        words = self._words.findall((_MARK + first).replace(" ", _MARK))
+        for part in others:
+            words.append(None)
+            words += self._words.findall(part.replace(" ", _MARK))
+        return words
+
+    def _find(self, split: list[list[str | None] | None]) -> None:
+        if len(self) > REMEMBERED:
             self.clear()
-        ids = np.array(self._best_path(word.encode()), "<i4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        self[None] = self._own_mark
+        new = {w for words in split if words for w in words} - self.keys()
+        raw = sorted(((w.encode(), w) for w in new), key=lambda x: len(x[0]))
+        short = [x for x in raw if len(x[0]) <= LONG_WORD]
+        rest = raw[len(short) :]
+        for lo in range(0, len(short), _AT_ONCE):
+            part = short[lo : lo + _AT_ONCE]
+            ids, left = self._best_paths([w for w, _ in part])
+            self.update((word, found) for (_, word), found in zip(part, ids) if found is not None)
+            rest += [part[i] for i in left]
+        for encoded, word in rest:
+            self[word] = np.array(self._best_path(encoded), "<i4").tobytes()
+
+    def _best_paths(self, words: list[bytes]) -> tuple[list[bytes | None], list[int]]:
+        """As :meth:`_best_path` for many words in step, and the places of those with an uncovered character."""
+        count, size = len(words), np.array([len(w) for w in words])
+        width = int(size[-1])
+        text = np.frombuffer(b"".join(w.ljust(width, b"\xff") for w in words), np.uint8).reshape(count, width)
+        best = np.full((count, width + 1), -np.inf)
+        best[:, 0] = 0
+        start, piece = np.zeros((count, width + 1), np.int16), np.full((count, width + 1), -1, np.int32)
+        covered = np.ones(count, bool)
+        lead = text & 0xC0 != 0x80
+        chars = np.where(text < 0xC0, 1, np.where(text < 0xE0, 2, np.where(text < 0xF0, 3, 4)))
+        for at in range(width):
+            row = np.flatnonzero(lead[:, at] & (size > at) & covered)
+            state, single = np.zeros(len(row), np.int32), np.zeros(count, bool)
+            begun = row
+            for to in range(at, width):
+                after = self._base[state] + text[row, to] + 1
+                alive = (self._check[after] == state) & (size[row] > to)
+                row, state = row[alive], after[alive]
+                if not len(row):
+                    break
+                found = self._value[state]
+                has = found >= 0
+                at_row, at_piece = row[has], found[has]
+                total = best[at_row, at] + self._scores[at_piece]
+                better = total > best[at_row, to + 1]
+                at_row = at_row[better]
+                best[at_row, to + 1], piece[at_row, to + 1], start[at_row, to + 1] = total[better], at_piece[better], at
+                whole = row[has]
+                single[whole[chars[whole, at] == to + 1 - at]] = True
+            covered[begun[~single[begun]]] = False
+        tokens, place = np.full((count, width), -1, np.int32), size.copy()
+        column = width
+        while place.any():
+            column -= 1
+            moving = np.flatnonzero(place)
+            tokens[moving, column] = piece[moving, place[moving]]
+            place[moving] = start[moving, place[moving]]
+        first = width - (tokens >= 0).sum(axis=1)
+        packed = tokens.astype("<i4").tobytes()
+        ids = [packed[4 * (i * width + f) : 4 * (i + 1) * width] if c else None
+               for i, (f, c) in enumerate(zip(first.tolist(), covered.tolist()))]
+        return ids, np.flatnonzero(~covered).tolist()
 
     def _best_path(self, word: bytes) -> list[int]:
         vocabulary, trie = self._vocabulary, self._vocabulary.trie
@@ -195,7 +267,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", i
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder
         for batch in batches:
-            packed = [None if t is None else encoder.packed(t) for t in batch.column(text_column).to_pylist()]
+            packed = encoder.packed(batch.column(text_column).to_pylist())
             sizes = np.array([0 if p is None else len(p) // 4 for p in packed], np.int64)
             flat = pa.array(np.frombuffer(b"".join(p for p in packed if p), "<i4"))
             offsets = pa.array(
@@ -218,7 +290,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if ids is None else vocabulary.decode(ids) for ids in batch.column(ids_column).to_pylist()]
+            ids = batch.column(ids_column)
+            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+            known = ids.is_valid().to_pylist()
+            # one row's ids at a time are Python numbers
+            texts = [vocabulary.decode(flat[a:b].tolist()) if k else None for a, b, k in zip(offsets, offsets[1:], known)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_column]
             )

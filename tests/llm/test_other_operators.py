@@ -311,9 +311,21 @@ def test_round_trip(documents, vocabulary):
 
 def test_forgotten_words_are_found_again(vocabulary, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    monkeypatch.setattr(pieces, "GROUP_CHARS", 10)
     fresh = pieces.Encoder(vocabulary)
-    text = "one two three four five one two three"
-    assert fresh.packed(text) == vocabulary.encoder.packed(text) and len(fresh) <= 3
+    texts = ["one two three", "four five one", None, "two three", "", "\u2581x"] * 3
+    assert fresh.packed(texts) == [None if t is None else vocabulary.encoder.packed([t])[0] for t in texts]
+    assert len(fresh) <= 3 + 4
+
+
+def test_paths_in_step_equal_single_ones(vocabulary):
+    rng = random.Random(6)
+    words = {"".join(rng.choice("abcdeéüß漢🎉.,!▁ \x00") for _ in range(rng.randrange(1, 30))) for _ in range(800)}
+    encoder = pieces.Encoder(vocabulary)
+    encoder._find([[w.replace(" ", "x") for w in words]])
+    for word in words:
+        word = word.replace(" ", "x")
+        assert np.frombuffer(encoder[word], "<i4").tolist() == encoder._best_path(word.encode())
 
 
 def test_double_array_holds_its_keys_only():
