@@ -193,7 +193,12 @@ def load_log(transformed: DataFrame, duration_ms: int | None = None, failures: D
     if failures is None:
         counts = counts.withColumn("error", F.lit(None).cast("string"))
     else:
-        counts = counts.join(failures.select(*load, "error"), load, "full_outer")
+        # pages that name no instrument are a load of their own
+        lost = failures.select(*(F.col(c).alias(f"_lost_{c}") for c in load), "error")
+        same = reduce(lambda a, b: a & b, (counts[c].cast("string").eqNullSafe(lost[f"_lost_{c}"].cast("string")) for c in load))
+        counts = counts.join(lost, same, "full_outer").withColumns(
+            {c: F.coalesce(c, F.col(f"_lost_{c}").cast(counts.schema[c].dataType)) for c in load}
+        )
     messages = [
         F.when(F.col(f"_rows_{n}") > 0, F.concat(F.col(f"_rows_{n}").cast("string"), F.lit(f" rows {name}")))
         for n, name in enumerate(REJECT_KINDS)

@@ -12,7 +12,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemart.functions.text import normal_symbol
+from pricemart.functions.text import normal_symbol, stable_id
 from pricemart.operators import audit, ingest, instruments, metrics, prices, questions, regression, rolling
 from pricemart.plans.jobs import load_records
 from pricemart.session import configure, scratch_path, shared_dir
@@ -811,10 +811,14 @@ def job_latest_state(spark, folder):
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
     pages = feed.parse_pages(driver.feed_documents(spark, folder), "document")
+    return _with_suppliers(spark, folder, feed.page_records(pages))
+
+
+def _with_suppliers(spark: SparkSession, folder: str, records: DataFrame) -> DataFrame:
     symbols = driver.table(spark, folder, "supplier").select(
         normal_symbol(F.col("s_name")).alias("symbol_key"), F.col("s_suppkey").alias("instrument_id")
     )
-    records = feed.page_records(pages).withColumn("symbol_key", normal_symbol(F.col("record")["ticker"]))
+    records = records.withColumn("symbol_key", normal_symbol(F.col("record")["ticker"]))
     return records.join(symbols, "symbol_key", "left").drop("symbol_key")
 
 
@@ -896,6 +900,21 @@ def load_log(spark, folder):
     )
 
 
+@query("""SELECT l_linestatus AS source_id, l_suppkey AS instrument_id, 'success' AS status, count(*) + count(*) FILTER (l_linenumber = 7) AS fetched,
+       CASE WHEN count(*) FILTER (l_linenumber = 7) > 0 THEN count(*) FILTER (l_linenumber = 7) || ' rows without date' END AS error_message
+FROM lineitem WHERE l_linenumber <> 6 GROUP BY ALL
+UNION ALL
+SELECT l_linestatus, NULL, 'error', 0, count(*) || ' pages could not be read' FROM lineitem WHERE l_linenumber = 6 GROUP BY ALL""")
+def broken_pages_log(spark, folder):
+    """The log of a feed whose sixth lines of an order are cut off."""
+    cut = F.when(F.split("page", "-")[1] == "6", F.substring("document", 1, 40)).otherwise(F.col("document"))
+    pages = feed.parse_pages(driver.feed_documents(spark, folder).withColumn("document", cut), "document")
+    failures = feed.page_failures(pages).withColumn("ingested_at", F.lit(LOADED).cast("timestamp"))
+    records = _with_suppliers(spark, folder, feed.page_records(pages))
+    found = ingest.load_log(ingest.transform_records(records, LOADED), failures=failures)
+    return found.select("source_id", "instrument_id", "status", "fetched", "error_message")
+
+
 @query(f"""WITH {FEED_LOG}
 SELECT source_id, instrument_id, CASE WHEN error_message IS NULL THEN 'completed' ELSE 'failed' END AS status,
        stored AS record_count, error_message FROM shown""")
@@ -922,6 +941,21 @@ def batch_feed_load(spark, folder):
     )
 
 
+@query("""SELECT l_linestatus AS source_id, count(DISTINCT l_suppkey) AS jobs, count(DISTINCT CASE WHEN l_linenumber = 7 THEN l_suppkey END) AS failed,
+       'close,date,flag,ticker,volume' AS attributes FROM lineitem GROUP BY ALL""")
+def load_leaves_jobs_and_sources(spark, folder):
+    """What a load of an unknown source leaves: its jobs' states and the source with its columns."""
+    root = scratch_path(spark, "load-states")
+    records = _records(spark, folder)
+    load_records(spark, root, records, LOADED, "first")
+    named = records.select("source_id", "instrument_id").distinct().withColumn("job_id", stable_id(F.col("source_id"), F.col("instrument_id")))
+    states = current_job_states(spark, root).join(named.drop("instrument_id"), "job_id").groupBy("source_id").agg(
+        F.count("job_id").alias("jobs"), F.count_if(F.col("status") == "failed").alias("failed")
+    )
+    sources = tables.scan(spark, root, "data_sources").select("source_id", F.array_join("attributes", ",").alias("attributes"))
+    return states.join(sources, "source_id")
+
+
 @query(f"""SELECT l_linestatus AS source_id, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS symbol,
        CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS record_date, round(l_extendedprice, 2) AS close_price,
        CAST(l_quantity AS BIGINT) AS volume {LAST_OF_LOAD}""")

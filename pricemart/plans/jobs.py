@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemart.functions.text import normal_symbol
+from pricemart.functions.text import normal_symbol, stable_id
 from pricemart.operators import ingest
 from pricemart.operators.instruments import (
     current_instruments,
@@ -141,10 +141,15 @@ def create_missing_instruments(spark: SparkSession, root: str, records: DataFram
     tables.append(new_base, root, "financial_instruments")
 
 
-def load_records(spark: SparkSession, root: str, records: DataFrame, load_time: datetime, load_batch: str) -> None:
-    """Load feed records that carry source_id and instrument_id: prices, rejects, log, observed columns.
+def load_records(
+    spark: SparkSession, root: str, records: DataFrame, load_time: datetime, load_batch: str,
+    failures: DataFrame | None = None,
+) -> None:
+    """Load feed records that carry source_id and instrument_id: prices, rejects, log, jobs, sources.
 
-    Every output is keyed by ``load_batch``: loading the same batch again replaces what it wrote.
+    ``failures`` (source_id, instrument_id, error) are logged with status ``error``. A source that is not
+    known yet is saved with the columns that were seen. Every output is keyed by ``load_batch``: loading the
+    same batch again replaces what it wrote.
     """
     transformed = ingest.transform_records(records, load_time)
     transformed.persist()
@@ -153,12 +158,19 @@ def load_records(spark: SparkSession, root: str, records: DataFrame, load_time:
         errors = ingest.load_errors(transformed).withColumn("load_batch", F.lit(load_batch))
         errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch").parquet(tables.table_path(root, "load_errors"))
         took = int((datetime.now(timezone.utc) - load_time).total_seconds() * 1000)
-        tables.append_load(ingest.load_log(transformed, took), root, "ingest_log", load_batch)
+        if failures is not None:
+            failures = failures.withColumn("ingested_at", F.lit(load_time).cast("timestamp"))
+        log = ingest.load_log(transformed, took, failures)
+        tables.append_load(log, root, "ingest_log", load_batch)
+        states = ingest.job_outcomes(log).select(
+            stable_id(F.col("source_id"), F.col("instrument_id")).alias("job_id"), "status", "record_count", "error_message",
+            F.col("ingested_at").alias("started_at"), F.lit(datetime.now(timezone.utc)).cast("timestamp").alias("completed_at"),
+        )
+        tables.append_load(states, root, "ingest_job_changes", load_batch)
         sources = tables.scan(spark, root, "data_sources")
         seen = ingest.observed_columns(transformed)
-        tables.upsert(
-            spark, root, "data_sources",
-            ingest.with_observed_columns(sources.join(seen.select("source_id"), "source_id", "left_semi"), seen),
-        )
+        loaded = seen.select(F.col("source_id").cast("string")).join(sources, "source_id", "left")
+        loaded = loaded.withColumn("source_name", F.coalesce("source_name", "source_id"))
+        tables.upsert(spark, root, "data_sources", ingest.with_observed_columns(loaded, seen))
     finally:
         transformed.unpersist()

@@ -10,9 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pricemart.operators.instruments import current_instruments
 from pricemart.plans.jobs import create_missing_instruments, load_records, with_instruments
-from pricemart.schemas import FEED_PAGE
 from pricemart.sources import tables
-from pricemart.sources.feed import page_records, with_page_name
+from pricemart.sources.feed import BROKEN, page_failures, page_records, with_broken, with_page_name
 
 
 def start_feed_load(spark: SparkSession, landed: str, root: str, checkpoint: str) -> StreamingQuery:
@@ -21,15 +20,15 @@ def start_feed_load(spark: SparkSession, landed: str, root: str, checkpoint: str
     Each micro-batch is one load, named by its batch id, so a batch that Spark runs again after a
     failure replaces its own rows.
     """
-    schema = T.StructType([*FEED_PAGE.fields, T.StructField("source_id", T.StringType())])
-    pages = with_page_name(spark.readStream.schema(schema).json(landed))
+    schema = T.StructType([*with_broken().fields, T.StructField("source_id", T.StringType())])
+    pages = with_page_name(spark.readStream.schema(schema).option("columnNameOfCorruptRecord", BROKEN).json(landed))
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         # streams run without AQE, but a load is batch work that wants its skew handling and file sizes
         session.conf.set("spark.sql.adaptive.enabled", "true")
         try:
-            _load(session, root, page_records(batch), f"{batch_id:012d}")
+            _load(session, root, page_records(batch), f"{batch_id:012d}", page_failures(batch))
         finally:
             session.conf.set("spark.sql.adaptive.enabled", "false")
 
@@ -41,10 +40,10 @@ def start_feed_load(spark: SparkSession, landed: str, root: str, checkpoint: str
     )
 
 
-def _load(spark: SparkSession, root: str, records: DataFrame, load_batch: str) -> None:
+def _load(spark: SparkSession, root: str, records: DataFrame, load_batch: str, failures: DataFrame) -> None:
     now = datetime.now(timezone.utc)
     create_missing_instruments(spark, root, records, now)
     current = current_instruments(
         tables.scan(spark, root, "financial_instruments"), tables.scan(spark, root, "instrument_versions")
     )
-    load_records(spark, root, with_instruments(records, current), now, load_batch)
+    load_records(spark, root, with_instruments(records, current), now, load_batch, failures)

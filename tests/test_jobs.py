@@ -92,6 +92,20 @@ def test_feed_stream_is_incremental(spark, root, tmp_path):
     assert log.where("status <> 'success'").isEmpty()
 
 
+def test_a_load_with_broken_pages_of_a_new_source(spark, root, tmp_path):
+    landed = tmp_path / "landed"
+    land(landed, "a.json", [["KOBOLD", "2024-02-01", "9.5", "5", "x"], ["KOBOLD", "2024-02-01", "9.75", "6", "y"]])
+    (landed / "source_id=s1" / "b.json").write_text('{"datatable": {"columns": [{"na\n{"error": {"code": 7}}\n')
+    start_feed_load(spark, str(landed), root, str(tmp_path / "state")).awaitTermination()
+    assert [float(r.close_price) for r in tables.scan(spark, root, "prices").collect()] == [9.75]
+    log = {r.status: r for r in tables.scan(spark, root, "ingest_log").collect()}
+    assert (log["error"].error_message, log["error"].record_count) == ("2 pages could not be read", 0)
+    assert (log["success"].record_count, log["success"].error_message) == (2, None)
+    source = tables.scan(spark, root, "data_sources").first()
+    assert (source.source_id, source.source_name, source.attributes) == ("s1", "s1", ["close", "date", "note", "ticker", "volume"])
+    assert sorted(r.status for r in current_job_states(spark, root).collect()) == ["completed", "failed"]
+
+
 EVENTS = [
     ("j1", "AAPL", "W", "queued", utc(2024, 1, 1), None, None),
     ("j1", "AAPL", "W", "running", utc(2024, 1, 1, 1), None, None),
