@@ -29,6 +29,9 @@ SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
 VOCABULARY, DIMENSIONS, NONZERO, REACH = 8192, 64, 4, 2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 300, 0.01, 1e-3
 
+#: Documents of the sample that are turned into words and vectors at a time.
+_FIT_DOCS = 128
+
 _SPACE, _LETTER, _DIGIT, _SIGN = 0, 1, 2, 3
 _KIND = np.full(256, _SIGN, np.uint8)
 _KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
@@ -149,18 +152,17 @@ def labelled_sample(
 def fit(sample: list[tuple[str, int]], seed: int = 7) -> Model:
     """The model of a sample; without one, or with one label only, its score is the share of label 1, or 0.5."""
     rng = np.random.default_rng(seed)
-    raw = [t.encode() for t, _ in sample]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     label = np.array([y for _, y in sample], np.float64)
-    row, name, backoff = tokens(data, bounds)
+    row, name, backoff = _sample_tokens([t for t, _ in sample])
 
     frequent, count = np.unique(name, return_counts=True)
     frequent = frequent[np.lexsort((frequent, -count))][:VOCABULARY]
     names = np.unique(np.concatenate([frequent, np.unique(backoff), np.zeros(1, np.uint64)]))
     at = places(names, name, backoff)
     vectors = _word_vectors(names, row, at)
-    pooled = pool(len(sample), row, vectors[at])
+    cuts = np.searchsorted(row, np.arange(0, len(sample) + _FIT_DOCS, _FIT_DOCS))
+    parts = [pool(len(sample), row[a:b], vectors[at[a:b]]) for a, b in zip(cuts, cuts[1:])]
+    pooled = np.sum(parts, axis=0) if parts else np.zeros((0, DIMENSIONS), np.float32)
     centre, spread = pooled.mean(axis=0, dtype=np.float64) if len(sample) else np.zeros(DIMENSIONS), np.ones(DIMENSIONS)
     layers = _first_layers(rng, label)
     if len(set(label.tolist())) < 2:
@@ -173,6 +175,17 @@ def fit(sample: list[tuple[str, int]], seed: int = 7) -> Model:
     return Model(names, vectors, centre, spread, layers, _temperature(logits(layers, x[aside]), label[aside]))
 
 
+def _sample_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts, read a few texts at a time."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+    for lo in range(0, len(texts), _FIT_DOCS):
+        raw = [t.encode() for t in texts[lo : lo + _FIT_DOCS]]
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        row, name, backoff = tokens(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        found.append((row + lo, name, backoff))
+    return tuple(np.concatenate(parts) for parts in zip(*found))
+
+
 def _word_vectors(names: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Its own index vector and the mean of those around it, for every name; the last is for unknown words."""
     index = index_vectors(names)
