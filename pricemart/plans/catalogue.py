@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricemart.functions.text import normal_symbol, stable_id
 from pricemart.operators import audit, ingest, instruments, metrics, prices, questions, regression, rolling
-from pricemart.plans.jobs import load_records
+from pricemart.plans.jobs import load_records, rolling_average_job
 from pricemart.session import configure, scratch_path, shared_dir
 from pricemart.sources import driver_tables as driver
 from pricemart.sources import feed, tables
@@ -256,6 +256,30 @@ def rolling_avg_7(spark, folder):
     )
 
 
+@query(f"""{LINES_DAILY}
+SELECT instrument_id, source_id, 5 AS window_days, CAST(record_date AS VARCHAR) AS record_date,
+       round(avg(close_price) OVER w, 3) AS rolling_avg_close, count(close_price) OVER w AS observation_count
+FROM lp_daily
+WINDOW w AS (PARTITION BY instrument_id, source_id ORDER BY record_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
+def rolling_job_table(spark, folder):
+    """All prices appended to the price table, the rolling job run on it, its table read back."""
+    root = scratch_path(spark, "rolling-job")
+    tables.append(driver.lineitem_prices(spark, folder).withColumn("ingested_at", F.col("system_date")), root, "prices")
+    rolling_average_job(spark, root, 5)
+    return tables.scan(spark, root, "rolling_averages").select(
+        F.col("instrument_id").cast("bigint").alias("instrument_id"), "source_id", "window_days", day(),
+        rounded("rolling_avg_close", 3), "observation_count",
+    )
+
+
+@query(f"""{LINES} SELECT instrument_id, source_id, CAST(record_date AS VARCHAR) AS record_date, system_us AS system_date_us,
+       round(close_price, 4) AS close_price, volume FROM lp WHERE instrument_id = 1 AND source_id = 'O' AND year(record_date) = 1998""")
+def price_partition(spark, folder):
+    """All versions of one series in one year."""
+    found = prices.partition_scan(driver.lineitem_prices(spark, folder), 1, "O", 1998)
+    return found.select(*IDS, day(), micros("system_date"), rounded("close_price", 4), "volume")
+
+
 @query(f"""{EVENTS_DAILY}
 SELECT instrument_id, source_id, 7 AS window_days, CAST(record_date AS VARCHAR) AS record_date,
        round(close_price, 6) AS close_price, round(avg(close_price) OVER w, 6) AS rolling_avg_close,
@@ -558,6 +582,11 @@ def instrument_current(spark, folder):
     return shown_instruments(current(spark, folder))
 
 
+@query(f"{CURRENT} SELECT * FROM live WHERE instrument_id = 42")
+def instrument_one(spark, folder):
+    return shown_instruments(instruments.instrument_by_id(current(spark, folder), 42))
+
+
 @query(f"{CURRENT} SELECT instrument_id, symbol, instrument_class, name, region FROM live ORDER BY instrument_id LIMIT 1000")
 def instrument_summaries(spark, folder):
     return instruments.instrument_summaries(current(spark, folder))

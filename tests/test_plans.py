@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 # these write and read tables while they are built
 RUNS_WHEN_BUILT = {
     "stream_feed_load", "stream_job_state", "batch_feed_load", "table_upsert_and_delete", "load_log", "job_outcomes",
-    "load_leaves_jobs_and_sources",
+    "load_leaves_jobs_and_sources", "rolling_job_table",
 }
 
 
