@@ -36,7 +36,7 @@ def test_no_cross_joins(spark, capsys, name):
     ("latest_daily_prices", 1), ("aggregates_all", 1), ("trend", 1), ("forecast_last_close", 1), ("returns", 1),
     ("risk_signal", 1), ("metrics_report", 1), ("insufficient_flags", 1), ("fact_sheets", 1),
     ("rolling_avg_7", 2), ("rolling_avg_several", 2), ("features", 2), ("risk_signal_latest", 2), ("regression_statistics", 2),
-    ("price_asof_requests", 2), ("instrument_as_of", 1), ("job_latest_state", 1), ("feed_casts", 0), ("symbol_mentions", 0),
+    ("price_asof_requests", 2), ("instrument_as_of", 1), ("job_latest_state", 1), ("feed_casts", 0), ("symbol_mentions", 4),
 ])
 def test_number_of_shuffles(spark, capsys, name, shuffles):
     assert count(plan_of(spark, capsys, name), "Exchange") == shuffles
