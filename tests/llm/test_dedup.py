@@ -210,3 +210,20 @@ def test_substrings_of_nothing(documents):
 def test_packed_numbers_come_back():
     numbers = np.unique(np.random.default_rng(0).integers(0, 2**32 - 1, 1000))
     assert unpack(pack(numbers)).tolist() == numbers.tolist() and len(unpack(pack(numbers[:0]))) == 0
+
+
+# very long texts ---------------------------------------------------------------------------------------------
+
+
+def test_very_long_texts(documents):
+    long = words_of(40_000, 1, 10**6)
+    texts = [" ".join(long), "  ".join(long), "\n".join(edited(long, {5, 20_000})), "short", "x" * 500_000, "x" * 500_000 + "y"]
+    docs = documents(*texts)
+    exact = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_groups(docs).collect()}
+    assert exact == {0: (1, 2), 1: (1, 2), 2: (2, 1), 3: (3, 1), 4: (4, 1), 5: (5, 1)}
+    near = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_groups(docs).collect()}
+    assert [near[i] for i in range(6)] == brute_near(texts, 5, 80)
+    cut = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup(docs).collect()}
+    assert [cut[i] for i in range(6)] == brute_substrings(texts, 35)
+    lines = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept"]) for r in line_dedup(docs, min_docs=2).collect()}
+    assert [lines[i] for i in range(6)] == brute_lines(texts, 2)
