@@ -21,12 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .words import slices
+
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 200_000
 GROUP_CHARS = 1_000_000
 #: Longer words, in bytes, are found one by one.
 LONG_WORD = 64
 _AT_ONCE = 8192
+#: Rows of ids that are decoded into one batch.
+ROWS_AT_ONCE = 256
 
 _MARK = "▁"
 _UNKNOWN_BELOW_LEAST = 10.0
@@ -266,7 +270,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", i
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder
-        for batch in batches:
+        for batch in (part for whole in batches for part, _, _ in slices(whole, text_column)):
             packed = encoder.packed(batch.column(text_column).to_pylist())
             sizes = np.array([0 if p is None else len(p) // 4 for p in packed], np.int64)
             flat = pa.array(np.frombuffer(b"".join(p for p in packed if p), "<i4"))
@@ -289,9 +293,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids",
     schema = T.StructType([*encoded.schema, T.StructField(text_column, T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, ROWS_AT_ONCE) for whole in batches for lo in range(0, whole.num_rows, ROWS_AT_ONCE)):
             ids = batch.column(ids_column)
-            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()[: len(ids) + 1].tolist()
             known = ids.is_valid().to_pylist()
             # one row's ids at a time are Python numbers
             texts = [vocabulary.decode(flat[a:b].tolist()) if k else None for a, b, k in zip(offsets, offsets[1:], known)]

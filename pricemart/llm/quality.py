@@ -247,16 +247,17 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of ``least`` or more, with all their columns."""
-    numbered = docs.select(row_number().alias("scored_row"), F.struct("*").alias("whole"))
-    whole = numbered.select("whole", F.col(f"whole.{text_column}").alias("text"))
-    schema = whole.select("whole").schema.add("score", "double")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = np.concatenate([model.score(model.pooled(d, b)) for _, d, b in slices(batch, size=SLICE_BYTES // 4)] or [[]])
-            yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(scores, pa.float64())], ["whole", "score"])
-
-    return whole.mapInArrow(work, schema).where(F.col("score") >= least).select("whole.*")
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            batch = pa.RecordBatch.from_arrays([part], ["text"])
+            found = [model.score(model.pooled(data, bounds)) for _, data, bounds in slices(batch, size=SLICE_BYTES // 4)]
+            yield pa.array(np.concatenate([np.zeros(0), *found]))
+
+    # only the texts go to Python and only the scores come back
+    whole = docs.select(F.struct("*").alias("whole"))
+    scored = whole.select("whole", scores(F.col("whole")[text_column].cast("string")).alias("score"))
+    return scored.where(F.col("score") >= least).select("whole.*")
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
