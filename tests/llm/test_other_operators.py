@@ -1,9 +1,7 @@
 """Mixing, search, chats, classifiers and pieces against brute force, round trips and held-out accuracy."""
 
-import hashlib
 import math
 import random
-import re
 
 import numpy as np
 import pytest
