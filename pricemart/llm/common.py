@@ -39,10 +39,19 @@ def text_key(text: str = "text") -> Column:
 
 
 def row_number() -> Column:
-    """A different number for every row. Stable where the rows come from files or from :func:`saved`."""
+    """A different number for every row, for one scan: another scan of the same files may give other numbers.
+
+    They go by partition, and how files are packed into partitions follows the cores that are alive at planning.
+    Save the numbered rows, and read all that is joined by number from what was saved.
+    """
     return F.monotonically_increasing_id()
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """(row, whole): the rows of ``df`` as structs with a number each, written once, so that numbers stay."""
+    return stored(df.select(row_number().alias("row"), F.struct("*").alias("whole")), name)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

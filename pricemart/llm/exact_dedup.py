@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_number, saved
+from .common import numbered, row_number, saved
 
 BLOCK_CHARS = 4096
 SPACES = r"[\x20\x09-\x0D]"
@@ -36,12 +36,16 @@ def exact_groups(
 
     Of equal texts the row with the most characters before normalising stays, then the smallest id (null
     ids last), then the first row, so that repeated rows leave exactly one. A null text equals the empty
-    text. ``row`` numbers the rows of ``docs``, which has to come from files or a checkpoint. Only the two
-    named columns are read, so other columns may have any name. No rows give no rows.
+    text. ``row`` numbers the rows of ``docs`` for this call alone. Only the two named columns are read, so
+    other columns may have any name. No rows give no rows.
     """
-    docs = docs.select(
+    return _groups(docs.select(
         row_number().alias("row"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
-    )
+    ), block_chars)
+
+
+def _groups(docs: DataFrame, block_chars: int) -> DataFrame:
+    """As :func:`exact_groups`, of rows (row, doc_id, text); the numbers are read by one scan only."""
     longest = docs.agg(F.max(F.char_length("text"))).first()[0] or 0
     first = saved(_named_blocks(docs, block_chars))
     names = first.select("row", "pos", "name")
@@ -64,9 +68,10 @@ def exact_groups(
 
 def keep_first(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns."""
-    kept = exact_groups(docs, id_column, text_column).where("kept").select(F.col("row").alias("kept_row"))
-    numbered = docs.select(row_number().alias("kept_row"), F.struct("*").alias("whole"))
-    return numbered.join(kept, "kept_row", "left_semi").select("whole.*")
+    rows = numbered(docs, "exact_rows")
+    whole = F.col("whole")
+    texts = rows.select("row", whole[id_column].alias("doc_id"), whole[text_column].alias("text"))
+    return rows.join(_groups(texts, BLOCK_CHARS).where("kept").select("row"), "row", "left_semi").select("whole.*")
 
 
 def _named_blocks(docs: DataFrame, block_chars: int) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, row_number, runs, saved, stored, tasks
+from .common import components, numbered, row_number, runs, saved, stored, tasks
 from .sketches import BINS, band_width, least_agreement, set_digests, shingle_sets, sketch, sketch_bytes
 from .words import Words, slices
 
@@ -40,12 +40,15 @@ def near_groups(
     Two texts are linked if 100 * shared shingles >= ``percent`` * all their shingles. ``component_id`` is the
     smallest id of the class (null only if all its ids are); the row with it stays, of repeated rows the first.
     Words are lower-cased in A-Z; a text of fewer than ``shingle_words`` words is one shingle. Null, empty and
-    blank texts have no shingles, are linked with nothing and stay. ``row`` numbers the rows of ``docs``, which
-    has to come from files or a checkpoint. Only the two named columns are read. No rows give no rows.
+    blank texts have no shingles, are linked with nothing and stay. ``row`` numbers the rows of ``docs``; they are
+    written once with their numbers. Only the two named columns are read. No rows give no rows.
     """
-    docs = docs.select(
-        row_number().alias("row"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
-    )
+    rows = docs.select(row_number().alias("row"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    return _groups(stored(rows, "near_rows"), shingle_words, percent)
+
+
+def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """As :func:`near_groups`, of stored rows (row, doc_id, text)."""
     sketched = saved(docs.select("row", "text").mapInArrow(
         lambda it: _sketches(it, shingle_words), "row long, n_shingles long, digest binary, sketch binary"
     ))
@@ -78,9 +81,9 @@ def near_groups(
 
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that :func:`near_groups` keeps, with all their columns."""
-    kept = near_groups(docs, shingle_words=shingle_words, percent=percent).where("kept")
-    numbered = docs.select(row_number().alias("kept_row"), F.struct("*").alias("whole"))
-    return numbered.join(kept.select(F.col("row").alias("kept_row")), "kept_row", "left_semi").select("whole.*")
+    rows = numbered(docs, "near_rows")
+    kept = _groups(rows.select("row", "whole.doc_id", "whole.text"), shingle_words, percent).where("kept")
+    return rows.join(kept.select("row"), "row", "left_semi").select("whole.*")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_number, saved, tasks
+from .common import numbered, row_number, saved, tasks
 from .words import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -73,11 +73,18 @@ def mixture(
     words of one more where the target ends, so the sum over a source is its target to the next word.
     ``draws`` lists (words, time) of each. Documents without words and sources without words take no part
     (target 0). Documents are taken in order of a hash of their id; repeated rows are documents of their own.
-    Only the named columns are read; ``docs`` comes from files or a checkpoint. No rows give no rows.
+    Only the named columns are read; ``row`` numbers the rows of ``docs`` for this call alone. No rows give no rows.
     """
-    sized = saved(docs.select(
+    return _mixture(docs.select(
         row_number().alias("row"), F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
-        F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.col(text_column).alias("text"),
+    ), weights, schedules, most)
+
+
+def _mixture(rows: DataFrame, weights: Sequence[float], schedules: Sequence[Schedule], most: int) -> DataFrame:
+    """As :func:`mixture`, of rows (row, doc_id, source, text); the numbers are read by one scan only."""
+    sized = saved(rows.select(
+        "row", "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     ).withColumn("order", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
 
     digits = max(1, math.ceil(math.log(max(2, sized.count() / ROWS_PER_BUCKET), 16)))
@@ -147,8 +154,10 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     A document comes once for every draw, whole: the part of one where a target ends comes if it is half of
     the document or more.
     """
-    draws = mixture(docs, id_column, text_column, source_column)
+    rows, whole = numbered(docs, "mix_rows"), F.col("whole")
+    draws = _mixture(rows.select(
+        "row", whole[id_column].alias("doc_id"), whole[source_column].alias("source"), whole[text_column].alias("text"),
+    ), WEIGHTS, SCHEDULES, MOST_REPEATS)
     draws = draws.select("row", F.explode(F.expr("filter(draws, d -> 2 * d.words >= size)")).alias("draw"))
     draws = draws.select(F.col("row").alias("drawn_row"), F.col("draw.time").alias("time"))
-    numbered = docs.select(row_number().alias("row"), F.struct("*").alias("whole"))
-    return training_order(numbered.join(draws, F.col("row") == F.col("drawn_row"))).select("whole.*")
+    return training_order(rows.join(draws, F.col("row") == F.col("drawn_row"))).select("whole.*")

@@ -26,6 +26,36 @@ def documents(spark, tmp_path):
     return make
 
 
+@pytest.fixture
+def repacked(spark, monkeypatch):
+    """Cores come and go: what is scanned after the first save of a module is packed into other partitions."""
+
+    def after_first_save(module):
+        save = module.saved
+
+        def saved(df):
+            out = save(df)
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+            return out
+
+        monkeypatch.setattr(module, "saved", saved)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "12")
+
+    yield after_first_save
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+@pytest.fixture
+def many_files(spark, tmp_path):
+    """Sixty documents of different words in twelve files, every third one a copy of the one before."""
+    texts = [" ".join(f"w{n}x{k}" for k in range(9 + n % 7)) for n in range(60)]
+    texts = [texts[n - 1] if n % 3 == 2 else t for n, t in enumerate(texts)]
+    rows = [(n, t, "en", f"s{n % 4}", len(t)) for n, t in enumerate(texts)]
+    path = str(tmp_path / "many_files")
+    spark.createDataFrame(rows, DOCUMENT).repartition(12).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @pytest.fixture(scope="session")
 def tables():
     for name in ("sf0.001", "sf0.01"):

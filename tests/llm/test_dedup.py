@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from pricemart.llm import near_dedup
+from pricemart.llm import exact_dedup, near_dedup
 from pricemart.llm.exact_dedup import exact_groups, keep_first
 from pricemart.llm.line_dedup import Bloom, line_dedup, repeated_lines
 from pricemart.llm.near_dedup import keep_one_of_each, near_groups
@@ -227,3 +227,22 @@ def test_very_long_texts(documents):
     assert [cut[i] for i in range(6)] == brute_substrings(texts, 35)
     lines = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept"]) for r in line_dedup(docs, min_docs=2).collect()}
     assert [lines[i] for i in range(6)] == brute_lines(texts, 2)
+
+
+# numbers of rows ---------------------------------------------------------------------------------------------
+
+
+def test_exact_copies_of_files_that_are_packed_anew(many_files, repacked):
+    repacked(exact_dedup)
+    assert sorted(r["doc_id"] for r in keep_first(many_files).collect()) == [n for n in range(60) if n % 3 < 2]
+
+
+def test_near_groups_of_files_that_are_packed_anew(many_files, repacked):
+    repacked(near_dedup)
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_groups(many_files).collect()}
+    assert got == {n: (n - (n % 3 == 2), n % 3 < 2) for n in range(60)}
+
+
+def test_near_copies_of_files_that_are_packed_anew(many_files, repacked):
+    repacked(near_dedup)
+    assert sorted(r["doc_id"] for r in keep_one_of_each(many_files).collect()) == [n for n in range(60) if n % 3 < 2]

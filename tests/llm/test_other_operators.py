@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,6 +85,13 @@ def test_training_order_and_whole_documents(documents):
     assert source_mix.mixed(docs.where("false")).count() == 0
 
 
+def test_draws_of_files_that_are_packed_anew(many_files, repacked):
+    draws = source_mix.mixture(many_files).selectExpr("doc_id", "size(filter(draws, d -> 2 * d.words >= size)) AS n")
+    expected = {r["doc_id"]: r["n"] for r in draws.where("n > 0").collect()}
+    repacked(source_mix)
+    assert Counter(r["doc_id"] for r in source_mix.mixed(many_files).collect()) == expected
+
+
 # search ------------------------------------------------------------------------------------------------------
 
 
