@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_number
 from .words import slices
 
 SAMPLE_DOCS, SAMPLE_BYTES = 64, 512
@@ -31,6 +30,7 @@ UNKNOWN = "und"
 #: How sharply the entropies of the languages turn into a score.
 _SHARPNESS = 4.0
 _GAP = 32
+_LETTER = r"\p{L}"
 
 _CLASS = np.full(256, _GAP, np.uint8)
 _CLASS[128:] = np.arange(128, 256)
@@ -145,18 +145,21 @@ def learn(
 ) -> dict[str, bytes]:
     """A sample of text for every language of the rows where ``may_learn``.
 
-    ``sample_docs`` texts per language, the smallest by a hash of the text, ``sample_bytes`` characters from the
-    middle of each. Rows without language or text teach nothing. What the driver gets is bounded by these.
+    ``sample_docs`` distinct texts per language, the smallest by a hash of the text, ``sample_bytes`` characters
+    from the middle of each; those with a letter in the middle come first. Rows without language or text and texts
+    without a letter teach nothing, and copies count once. What the driver gets is bounded by these.
     """
+    middle = F.expr(f"substring(text, greatest(1, (char_length(text) - {sample_bytes}) div 2), {sample_bytes})")
     rows = docs.select(
-        row_number().alias("row"), F.col(language_column).alias("lang"), F.col(text_column).alias("text"), may_learn.alias("may")
-    ).where("may AND lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy("order", "row")
-    chosen = rows.select("row", "lang", F.xxhash64("text").alias("order"))
+        F.col(language_column).alias("lang"), F.col(text_column).alias("text"), may_learn.alias("may")
+    ).where("may AND lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(_LETTER))
+    rows = rows.select("lang", F.xxhash64("text").alias("order"), middle.alias("middle"))
+    order = Window.partitionBy("lang").orderBy("bare", "order")
+    chosen = rows.select("lang", (~F.col("middle").rlike(_LETTER)).alias("bare"), "order").distinct()
     chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs)
-    middle = F.expr(f"substring(text, greatest(1, (char_length(text) - {sample_bytes}) div 2), {sample_bytes})")
     # a language has sample_docs rows at most, so this side is as small as the list of languages
-    texts = rows.join(F.broadcast(chosen.select("row", "place")), "row").select("lang", "place", middle.alias("text"))
+    texts = rows.join(F.broadcast(chosen.select("lang", "order", "place")), ["lang", "order"])
+    texts = texts.groupBy("lang", "place").agg(F.min("middle").alias("text"))
     samples: dict[str, list[bytes]] = {}
     for row in texts.orderBy("lang", "place").collect():
         raw = np.frombuffer(row["text"].encode(), np.uint8)

@@ -259,6 +259,15 @@ def test_suffix_automaton_knows_every_substring():
     assert not knows(b"abc") and not knows(b"zz")
 
 
+def test_copies_and_texts_without_letters_take_one_place_or_none(documents):
+    texts = [" ".join(chr(97 + n) * (2 + k) for k in range(5)) for n in range(10)]
+    rows = [{"text": t, "lang": "xx"} for t in texts for _ in range(language_id.SAMPLE_DOCS)]
+    rows += [{"text": f"{n} - {n}!", "lang": "xx"} for n in range(200)]
+    sample = language_id.learn(documents(*rows, {"text": "12 34", "lang": "yy"}), F.lit(True))
+    assert list(sample) == ["xx"] and len(sample["xx"]) == sum(map(len, texts)) + 9
+    assert all(t.encode() in sample["xx"] for t in texts)
+
+
 def test_languages_of_odd_texts(documents):
     docs = documents(*ODD, "123 !! 45", "漢字", "der die das " * 30_000, extra=("score", "lang_pred", "row"))
     samples = {"de": b"der die das und ist nicht", "en": b"the and of to is that a"}
