@@ -537,6 +537,12 @@ def _report(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.metrics_report(rows, date(2024, 1, 3), date(2024, 1, 28))
 
 
+def _whole_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from the first date of the table to its last."""
+    rows = driver.event_prices(spark, folder)
+    return metrics.metrics_report(rows, *rows.agg(F.min("record_date"), F.max("record_date")).first())
+
+
 EVENTS_REPORT = EVENTS + """
 , part AS (SELECT * FROM ep WHERE record_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-28')""" + _steps_sql(
     "part", "record_date, system_us DESC"
@@ -558,6 +564,8 @@ r AS (SELECT g.*, f.close_price AS s, l.close_price AS e, m.v, m.d,
              LEFT JOIN (SELECT * FROM o WHERE b = 1) l USING (instrument_id, source_id)
              LEFT JOIN m USING (instrument_id, source_id))"""
 
+WHOLE_REPORT = EVENTS_REPORT.replace(" WHERE record_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'", "")
+
 
 @query(EVENTS_REPORT + """
 SELECT instrument_id, source_id, '2024-01-03' AS start_date, '2024-01-28' AS end_date, n AS count,
@@ -1176,10 +1184,63 @@ def fact_sheets(spark, folder):
     return questions.fact_sheets(_report(spark, folder)).select(*IDS, "seq", "name", first.alias("shown"), "error")
 
 
+@query(WHOLE_REPORT + f"""
+SELECT instrument_id, source_id, CASE WHEN mean IS NULL THEN '{questions.NO_ANALYTICS}' END AS analytics,
+       CASE WHEN closes < 2 THEN '{questions.NO_TREND}' END AS trend,
+       CASE WHEN e IS NULL THEN '{questions.NO_FORECAST}' END AS forecast,
+       CASE WHEN closes < 2 THEN '{questions.NO_RISK}' END AS risk_signal,
+       CASE WHEN n = 0 THEN '{questions.NO_SERIES}' END AS time_series
+FROM r""")
+def insufficient_flags_all_dates(spark, folder):
+    return questions.insufficient_flags(_whole_report(spark, folder))
+
+
+SHEET_NUMBERS = (
+    "count", "min_close", "max_close", "avg_close", "total_volume", "start_close", "end_close", "change", "change_pct",
+    "predicted_next_close", "volatility_pct", "max_drawdown_pct",
+)
+SHEET_TEXTS = ("direction", "method", "signal", "summary")
+
+
+@query(WHOLE_REPORT + f"""
+, x AS (SELECT instrument_id, source_id, min(close_price) AS low, max(close_price) AS high FROM part GROUP BY ALL),
+sheets AS (
+  SELECT instrument_id, source_id, 0 AS seq, 'get_analytics' AS name,
+         CASE WHEN mean IS NULL THEN '{questions.NO_ANALYTICS}' END AS error, n AS count, low AS min_close,
+         high AS max_close, mean AS avg_close, volume AS total_volume
+  FROM r JOIN x USING (instrument_id, source_id)
+  UNION ALL BY NAME
+  SELECT instrument_id, source_id, 1 AS seq, 'get_trend' AS name,
+         CASE WHEN closes < 2 THEN '{questions.NO_TREND}' END AS error, direction,
+         CASE WHEN closes >= 2 THEN s END AS start_close, CASE WHEN closes >= 2 THEN e END AS end_close,
+         CASE WHEN closes >= 2 THEN e - s END AS change,
+         CASE WHEN closes >= 2 AND s <> 0 THEN (e - s) / s * 100 END AS change_pct FROM r
+  UNION ALL BY NAME
+  SELECT instrument_id, source_id, 2 AS seq, 'get_forecast' AS name,
+         CASE WHEN e IS NULL THEN '{questions.NO_FORECAST}' END AS error, 'naive_last_close' AS method,
+         e AS predicted_next_close FROM r
+  UNION ALL BY NAME
+  SELECT instrument_id, source_id, 3 AS seq, 'get_risk_signal' AS name,
+         CASE WHEN closes < 2 THEN '{questions.NO_RISK}' END AS error, signal,
+         CASE WHEN closes >= 2 THEN v END AS volatility_pct, CASE WHEN closes >= 2 THEN d END AS max_drawdown_pct,
+         CASE WHEN closes < 2 THEN '{metrics.TOO_FEW_CLOSES}'
+              ELSE printf('Risk is %s (volatility=%.2f%%, max_drawdown=%.2f%%).', signal, coalesce(v, 0), d) END AS summary
+  FROM r)
+SELECT instrument_id, source_id, seq, name, error, {", ".join(SHEET_TEXTS)},
+       {", ".join(f"round({c}, 6) AS {c}" for c in SHEET_NUMBERS)} FROM sheets""")
+def fact_sheets_all_dates(spark, folder):
+    """One row per series and sheet over all dates, with every field of the sheet in a column of its name."""
+    sheets = questions.fact_sheets(_whole_report(spark, folder))
+    read = F.from_json("raw", ", ".join(f"{c} string" for c in SHEET_NUMBERS + SHEET_TEXTS)).alias("read")
+    return sheets.select(*IDS, "seq", "name", "error", read).select(*IDS, "seq", "name", "error", "read.*").select(
+        *IDS, "seq", "name", "error", *SHEET_TEXTS, *(rounded(c) for c in SHEET_NUMBERS)
+    )
+
+
 @query()
 def grounded_reports(spark, folder):
     """Report text of every series from its fact sheets; its sentences are checked in the tests."""
-    return questions.grounded_reports(questions.fact_sheets(_report(spark, folder)), IDS)
+    return questions.grounded_reports(questions.fact_sheets(_whole_report(spark, folder)), IDS)
 
 
 @query(f"""{EVENTS}, g AS (SELECT instrument_id, source_id, count(*) AS n, avg(close_price) AS a FROM ep GROUP BY ALL)

@@ -36,3 +36,13 @@ def test_query_equals_sql(spark, db, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_sheets_and_reports_cover_all_dates(spark, tmp_path):
+    events = spark.read.parquet(f"{FOLDER}/events.parquet").selectExpr("* EXCEPT (ts)", "ts + INTERVAL 60 DAYS AS ts")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    series = events.select("user_id", "event_type").distinct().count()
+    assert QUERIES["grounded_reports"](spark, str(tmp_path)).count() == series
+    assert QUERIES["insufficient_flags_all_dates"](spark, str(tmp_path)).count() == series
+    sheets = QUERIES["fact_sheets_all_dates"](spark, str(tmp_path)).where("seq = 0").collect()
+    assert len(sheets) == series and sum(r["count"] for r in sheets) == events.count()
