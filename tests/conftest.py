@@ -1,5 +1,5 @@
 import sys
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from pricemart.schemas import TABLES  # noqa: E402
 from pricemart.session import build_session  # noqa: E402
+from times import utc  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,10 +24,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def utc(year, month, day, hour=0, minute=0, second=0):
-    return datetime(year, month, day, hour, minute, second, tzinfo=timezone.utc)
-
-
 @pytest.fixture
 def prices(spark):
     """Price rows from dicts; ids, dates and load times have defaults."""

@@ -3,7 +3,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import utc
+from times import utc
 from pyspark.sql import functions as F
 
 from pricemart.operators import ingest

@@ -1,6 +1,6 @@
 import json
 
-from conftest import utc
+from times import utc
 
 from pricemart.operators import instruments as ops
 from pricemart.schemas import TABLES

@@ -4,7 +4,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import utc
+from times import utc
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 

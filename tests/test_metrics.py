@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import utc
+from times import utc
 
 from pricemart.operators import metrics
 

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import utc
+from times import utc
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
