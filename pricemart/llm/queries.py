@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, line_dedup, pieces, quality, source_mix, substring_dedup, topk_search
+from . import chat_format, language_id, line_dedup, lloyd, merge_automaton, pieces, quality, source_mix, spelling
+from . import substring_dedup, topk_search
 from .common import table
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -261,3 +262,109 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lloyd.clusters(table(spark, sf_dir, "embeddings"), dims=64, k=8, rounds=10, seed="3")
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+def _clustering_sql(rounds: int = 10) -> str:
+    """Every round as three tables: who is nearest, the sums, and where the centroids go."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+near{n} AS MATERIALIZED (
+  SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT row, cluster, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM kept, centre{n}) GROUP BY row),
+sums{n} AS (
+  SELECT cluster, dim, count(*)::HUGEINT AS n, sum(v) AS s
+  FROM (SELECT cluster, unnest(x) AS v, unnest(range(64)) AS dim FROM near{n} JOIN kept USING (row)) GROUP BY ALL),
+centre{n + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(moved, c) AS c
+  FROM centre{n} LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::HUGEINT ORDER BY dim) AS moved FROM sums{n} GROUP BY cluster)
+  USING (cluster)),""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(1024::DOUBLE * x::DOUBLE)::HUGEINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+centre0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h) - 1)::INT AS cluster, x AS c
+  FROM (SELECT sha256('3:' || vec_id) AS h, x FROM kept ORDER BY h LIMIT 8)),
+{"".join(steps)}
+each AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM near{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance::BIGINT AS distance, cluster_inertia,
+       (SELECT sum(distance)::BIGINT FROM near{rounds}) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN kept USING (row) JOIN centre{rounds} USING (cluster) JOIN each USING (cluster)
+"""
+
+
+SQL["op11_centroid_clustering"] = _clustering_sql()
+
+
+@query
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = merge_automaton.Vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids = merge_automaton.encode(docs, vocabulary, packed=True, keep_text=False)
+    return merge_automaton.decode(ids, vocabulary).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.words(table(spark, sf_dir, "documents"), spoil_every=199))
+
+
+def _spelling_sql() -> str:
+    remainders = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        remainders.append(n)
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents) GROUP BY ALL),
+coded AS (
+  SELECT w, c, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+         ELSE [(192 | (unicode(x) >> 6))::BIGINT, (128 | (unicode(x) & 63))::BIGINT] END)) AS bytes FROM runs),
+hashed AS (
+  SELECT w, c, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda a, b:
+    xor(a >> 8, ({remainders}::BIGINT[])[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM coded),
+words AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 199 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+gaps AS MATERIALIZED (
+  SELECT word, n, p, length(word) AS size, word[1:p - 1] || word[p + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.p = b.p AND a.size = b.size AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM gaps g JOIN words w ON g.rest = w.word
+  UNION SELECT w.word, g.word FROM gaps g JOIN words w ON g.rest = w.word),
+best AS (
+  SELECT pairs.word, count(*) AS n_near, arg_min(o.word, (-o.n, o.word)) AS form, max(o.n) AS form_n
+  FROM pairs JOIN words o ON o.word = pairs.other GROUP BY pairs.word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form,
+         CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS last, form AS next FROM formed
+  UNION ALL SELECT chain.word, f.word, f.form FROM chain JOIN formed f ON f.word = chain.next)
+SELECT formed.word, form, last AS root, n, n_near, form_n FROM formed JOIN chain ON chain.word = formed.word AND chain.next IS NULL
+"""
+
+
+SQL["op13_spelling_groups"] = _spelling_sql()

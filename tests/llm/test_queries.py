@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from pricemart.llm.queries import QUERIES, SQL
-from test_dedup import brute_near
+from brute import brute_near
 
 
 def plain(value):
@@ -42,7 +42,7 @@ def test_query_has_every_document_once(spark, tables, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 def test_pipeline_stage_by_stage(spark, tables, tmp_path):
