@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
 
 
+#: Names of files that are broadcast together at most, in characters.
+FILE_NAMES_BYTES = 64_000_000
+#: Rows of a file are numbered below two to this.
+ROW_BITS = 40
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,9 +55,26 @@ def row_number() -> Column:
     return F.monotonically_increasing_id()
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """(row, whole): the rows of ``df`` as structs with a number each, written once, so that numbers stay."""
-    return stored(df.select(row_number().alias("row"), F.struct("*").alias("whole")), name)
+def numbered(df: DataFrame, name: str, **more: Column) -> DataFrame:
+    """(row, whole, more): the rows of ``df`` as structs, each with a number that every later scan gives it again.
+
+    Rows of Parquet files are numbered by file and place in the file, which do not hang on how files are packed into
+    partitions: nothing is written. Rows of any other frame are written once with their numbers.
+    """
+    file, index = f"_file_{uuid.uuid4().hex}", f"_index_{uuid.uuid4().hex}"
+    names, added = [f"`{c}`" for c in df.columns], [c.alias(a) for a, c in more.items()]
+    try:
+        place = df.metadataColumn("_metadata")
+        placed = df.select(*names, place["file_path"].alias(file), place["row_index"].alias(index), *added)
+    except AnalysisException:
+        return stored(df.select(row_number().alias("row"), F.struct("*").alias("whole"), *added), name)
+    # a row per file, as the driver's list of the files has
+    files = sorted(r[0] for r in placed.select(file).distinct().collect())
+    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"number long, `{file}` string")
+    if sum(map(len, files)) <= FILE_NAMES_BYTES:
+        numbers = F.broadcast(numbers)
+    row = F.shiftleft("number", ROW_BITS) + F.col(index)
+    return placed.join(numbers, file).select(row.alias("row"), F.struct(*names).alias("whole"), *more)
 
 
 def tasks(spark: SparkSession) -> int:
@@ -77,6 +102,16 @@ def runs(
         yield from work(held)
 
 
+def one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """All rows of the batches as one; texts and lists may take more than two gigabytes together."""
+    large = {pa.string(): pa.large_string(), pa.binary(): pa.large_binary()}
+    table = pa.Table.from_batches(batches)
+    kinds = [pa.large_list(f.type.value_type) if pa.types.is_list(f.type) else large.get(f.type, f.type) for f in table.schema]
+    table = table.cast(pa.schema([f.with_type(k) for f, k in zip(table.schema, kinds)]))
+    columns = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in table.columns]
+    return pa.RecordBatch.from_arrays(columns, schema=table.schema)
+
+
 def _run_end(keys: pa.Array, lo: int, key) -> int:
     """The end of the run of ``key`` that starts at ``lo``, by doubling and then halving steps."""
     step, hi, n = 1, lo + 1, len(keys)
@@ -117,4 +152,6 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("u"), F.sum("u"), F.sum("v"), F.sum(F.hash("u", "v"))).first())
+    """What two sets of edges only share if they are equal: their size and two sums of 64-bit hashes, as decimals."""
+    hashes = (F.xxhash64("u", "v"), F.xxhash64("v", F.lit(1), "u"))
+    return tuple(edges.agg(F.count("u"), *(F.sum(h.cast("decimal(38,0)")) for h in hashes)).first())

@@ -21,15 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, numbered, row_number, runs, saved, stored, tasks
+from .common import components, numbered, one_batch, runs, saved, stored, tasks
 from .sketches import BINS, band_width, least_agreement, set_digests, shingle_sets, sketch, sketch_bytes
 from .words import Words, slices
 
-#: Nodes that are compared in one piece.
+#: Nodes that are compared in one piece, and shingles that they have together (but for one node with more).
 BLOCK = 512
+BLOCK_SHINGLES = 1_000_000
 
 
 def near_groups(
@@ -40,31 +41,33 @@ def near_groups(
     Two texts are linked if 100 * shared shingles >= ``percent`` * all their shingles. ``component_id`` is the
     smallest id of the class (null only if all its ids are); the row with it stays, of repeated rows the first.
     Words are lower-cased in A-Z; a text of fewer than ``shingle_words`` words is one shingle. Null, empty and
-    blank texts have no shingles, are linked with nothing and stay. ``row`` numbers the rows of ``docs``; they are
-    written once with their numbers. Only the two named columns are read. No rows give no rows.
+    blank texts have no shingles, are linked with nothing and stay. ``row`` numbers the rows of ``docs``.
+    Only the two named columns are read. No rows give no rows.
     """
-    rows = docs.select(row_number().alias("row"), F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return _groups(stored(rows, "near_rows"), shingle_words, percent)
+    rows, whole = numbered(docs, "near_rows"), F.col("whole")
+    rows = rows.select("row", whole[id_column].alias("doc_id"), whole[text_column].alias("text"))
+    return _groups(rows, shingle_words, percent)
 
 
 def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """As :func:`near_groups`, of stored rows (row, doc_id, text)."""
+    """As :func:`near_groups`, of rows (row, doc_id, text) whose numbers every scan gives again."""
     sketched = saved(docs.select("row", "text").mapInArrow(
         lambda it: _sketches(it, shingle_words), "row long, n_shingles long, digest binary, sketch binary"
     ))
     same_set = sketched.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node"))
-    nodes = saved(same_set.join(sketched, F.col("node") == F.col("row")).select("node", "sketch"))
+    nodes = saved(same_set.join(sketched, F.col("node") == F.col("row")).select("node", "n_shingles", "sketch"))
 
     stars = saved(_stars(nodes, band_width(percent / 100)))
-    families = saved(components(stars.select(F.col("node").alias("a"), F.col("centre").alias("b"))))
+    families = components(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")))
+    families = saved(families.join(nodes.select("node", _share()), "node"))
     texts = docs.select(F.col("row").alias("node"), "text").join(families.select("node"), "node")
-    texts = stored(texts.join(nodes, "node"), "near_texts")
+    texts = stored(texts.join(nodes.drop("n_shingles"), "node"), "near_texts")
 
     measure = (shingle_words, percent, least_agreement(percent / 100))
     links = saved(_compared(_star_units(stars), texts, measure))
     classes = saved(components(links))
-    labelled = families.select("node", F.col("label").alias("family")).join(classes, "node", "left")
-    labelled = saved(labelled.select("node", "family", F.coalesce("label", "node").alias("label")))
+    labelled = families.select("node", "share", F.col("label").alias("family")).join(classes, "node", "left")
+    labelled = saved(labelled.select("node", "share", "family", F.coalesce("label", "node").alias("label")))
     links = links.unionByName(_compared(_family_units(labelled), texts, measure))
 
     labels = components(links)
@@ -98,20 +101,25 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator
             )
 
 
+def _share() -> Column:
+    """The part of a block that a node takes."""
+    return F.greatest(F.lit(1 / BLOCK), F.col("n_shingles") / BLOCK_SHINGLES).alias("share")
+
+
 def _stars(nodes: DataFrame, width: int) -> DataFrame:
-    """Distinct (node, centre): the smallest node of every bucket with each other node in it."""
+    """Distinct (node, centre, share): the smallest node of every bucket with each other node in it."""
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BINS // width - 1)),
         lambda band: F.xxhash64(band, F.substring(F.col("sketch"), band * width + 1, F.lit(width))),
     )
-    bands = nodes.select("node", F.explode(keys).alias("band"))
+    bands = nodes.select("node", _share(), F.explode(keys).alias("band"))
     buckets = bands.groupBy("band").agg(F.min("node").alias("centre"), F.count("node").alias("n")).where("n > 1")
-    return bands.join(buckets, "band").where("node <> centre").select("node", "centre").distinct()
+    return bands.join(buckets, "band").where("node <> centre").select("node", "centre", "share").distinct()
 
 
 def _star_units(stars: DataFrame) -> DataFrame:
     """(unit, node, side, label): every centre against its members, in blocks."""
-    sizes = stars.groupBy("centre").agg(F.ceil(F.count("node") / BLOCK).alias("parts"))
+    sizes = stars.groupBy("centre").agg(F.ceil(F.sum("share")).alias("parts"))
     members = stars.join(sizes, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     unit = F.xxhash64("centre", "part").alias("unit")
     centres = members.select(unit, F.col("centre").alias("node"), F.lit(0).alias("side")).distinct()
@@ -124,14 +132,14 @@ def _family_units(labelled: DataFrame) -> DataFrame:
 
     A class of half a block or more has blocks of its own; smaller ones are put together.
     """
-    by_class = labelled.groupBy("family", "label").agg(F.count("node").alias("n"))
-    own = F.col("n") * 2 >= BLOCK
-    mixed = by_class.where(~own).groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).alias("mixed_parts"))
+    by_class = labelled.groupBy("family", "label").agg(F.sum("share").alias("blocks"))
+    own = F.col("blocks") >= 0.5
+    mixed = by_class.where(~own).groupBy("family").agg(F.ceil(F.sum("blocks")).alias("mixed_parts"))
     open_families = by_class.groupBy("family").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     by_class = by_class.join(open_families.where("lo <> hi").select("family"), "family")
     by_class = by_class.join(mixed, "family", "left").select(
         "family", "label", F.when(own, F.col("label")).otherwise(-1).alias("owner"),
-        F.when(own, F.ceil(F.col("n") / BLOCK)).otherwise(F.col("mixed_parts")).alias("parts"),
+        F.when(own, F.ceil("blocks")).otherwise(F.col("mixed_parts")).alias("parts"),
     )
     part = F.when(F.col("owner") >= 0, F.xxhash64("node")).otherwise(F.xxhash64("label"))
     members = saved(labelled.join(by_class, ["family", "label"]).select(
@@ -156,7 +164,7 @@ def _compared(units: DataFrame, texts: DataFrame, measure: tuple[int, int, int])
 
 
 def _links(run: list[pa.RecordBatch], shingle_words: int, percent: int, agreement: int) -> Iterator[pa.RecordBatch]:
-    part = pa.Table.from_batches(run).combine_chunks().to_batches()[0]
+    part = one_batch(run)
     node, side, label = (part.column(c).to_numpy() for c in ("node", "side", "label"))
     label = label.copy()
     coordinates = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)

@@ -7,13 +7,14 @@ trained on. Words are runs of letters, of digits or of other signs, in lower cas
 those outside the vocabulary share one vector per kind, case and length. A word that stood just before is the
 word "again" of its kind and case.
 
-At scale: learning takes at most ``SAMPLE_DOCS`` labelled texts, chosen by a hash and limited map-side, and
-``SAMPLE_CHARS`` of each; the driver fits the model on these. Scoring works row by row on whole texts without
+At scale: learning takes at most ``SAMPLE_DOCS`` labelled texts, chosen by a hash, first in salted groups of each
+label and then among what these leave, and ``SAMPLE_CHARS`` of each; the driver fits the model on these. Scoring works row by row on whole texts without
 any shuffle; what is sent to the tasks is the model, of a size fixed by ``VOCABULARY`` and ``DIMENSIONS``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_number
+from .common import numbered, tasks
 from .words import SLICE_BYTES, mix, segment_hashes, slices
 
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
@@ -136,13 +137,16 @@ def labelled_sample(
     """
     labels = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label")).where("label IN (0, 1)")
     labels = labels.groupBy("id").agg(F.min("label").alias("label"))
-    rows = docs.select(
-        row_number().alias("row"), F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"),
-        may_learn.alias("may"),
+    rows = numbered(docs, "quality_rows", may=may_learn).select(
+        "row", F.col("whole")[id_column].alias("id"), F.coalesce(F.col("whole")[text_column], F.lit("")).alias("text"), "may"
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "row")
-    chosen = rows.where("may").select("row", "id").join(labels, "id").withColumn("place", F.row_number().over(order))
-    chosen = chosen.where(F.col("place") <= sample_docs // 2).select("row", "label", "place")
+    most, salts = sample_docs // 2, math.ceil(math.sqrt(tasks(docs.sparkSession)))
+    chosen = rows.where("may").select("row", "id").join(labels, "id")
+    chosen = chosen.withColumn("salt", F.pmod(F.xxhash64("id", "row"), F.lit(salts)))
+    for group in (["label", "salt"], ["label"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id", "row")
+        chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    chosen = chosen.select("row", "label", "place")
     middle = F.expr(f"substring(text, greatest(1, (char_length(text) - {sample_chars}) div 2), {sample_chars})")
     # at most sample_docs rows: a fixed size
     texts = rows.join(F.broadcast(chosen), "row").select("label", "place", middle.alias("text"))

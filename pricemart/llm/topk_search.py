@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_number, saved, tasks
+from .common import one_batch, row_number, saved, tasks
 
 K = 10
 SCALE = 1024
@@ -148,7 +148,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
     def built():
         if not held:
             return None
-        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        whole = one_batch(held)
         ids = whole.column("vec_id").fill_null(last).to_numpy()
         return Shard(whole.column("row").to_numpy(), ids, _matrix(whole.column("parts")))
 
