@@ -1,14 +1,11 @@
-"""Ordered columns over a series, also when one series is far larger than one task.
-
-A window over ``partitionBy(series)`` puts a whole series into one task. Where a series may hold a
-large share of all rows it is cut, along its own order, into pieces of about ``max_rows`` rows:
-
-1. count rows per series (combined map-side); only series above ``max_rows`` are looked at further;
-2. take the cut points of those from an approximate quantile sketch of the order (also combined);
-3. run the window inside (series, piece), reduce every piece to one summary row, carry the summaries
-   forward over the few pieces of a series, and join them back.
-
-The cut points only decide where the work is split, so results do not depend on their accuracy.
+"""Ordered columns over a series of any length: windows over pieces of it, and summaries that carry over.
+
+A window over ``partitionBy(series)`` puts a whole series into one task. Series with more than ``max_rows`` rows are
+cut along their own order, by time buckets; the window runs inside (series, bucket), every bucket is reduced to one
+summary row, the summaries are carried forward over the buckets of a series, and joined back. A bucket with more than
+``max_rows`` rows is cut further, by shorter parts of time; a part with more than that by the exact place, and rows
+of one place, which may come in any order, by a hash. It is one plan for every size: where no series is that long,
+adaptive execution finds the parts about pieces empty and leaves them out. Where the cuts are changes no result.
 """
 
 from __future__ import annotations
@@ -20,24 +17,42 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_ROWS_PER_TASK = 4_000_000
-MAX_PIECES = 4096
+#: Pieces that rows of one and the same place are dealt to, where there are too many.
+EQUAL_PLACES = 64
 
+_MICROS_A_DAY = 86_400_000_000
+_BUCKET_DAYS = 32
+#: A part is 2**32 microseconds, an hour and a bit.
+_PART_BITS = 32
 
 
 @dataclass(frozen=True)
 class SeriesOrder:
     """The key of a series and the order of its rows.
 
-    ``order`` lists ascending expressions that together order the rows of one series totally.
-    ``position`` is a long that never decreases along that order; it is used only to cut pieces.
+    ``place`` lists ascending expressions that order the rows of one series; rows that are equal in all of them may
+    come in any order. ``bucket`` and ``part`` never decrease along that order, ``part`` inside a bucket; they are
+    used only to cut pieces.
     """
 
     keys: tuple[str, ...]
-    order: tuple[Column, ...]
-    position: Column
+    bucket: Column
+    part: Column
+    place: tuple[Column, ...]
+
+
+def by_day(keys: Sequence[str], day: Column, *then: Column) -> SeriesOrder:
+    """Rows by day, a number, and inside it by ``then``; the first of these, if any, is in microseconds."""
+    part = F.struct(day.alias("day"), F.shiftright(then[0].cast("long"), _PART_BITS).alias("part")) if then else day
+    return SeriesOrder(tuple(keys), F.floor(day / _BUCKET_DAYS), part, (day, *then))
+
+
+def by_time(keys: Sequence[str], micros: Column, *then: Column) -> SeriesOrder:
+    """Rows by time in microseconds, then by ``then``."""
+    bucket = F.floor(F.shiftright(micros, _PART_BITS) / (_BUCKET_DAYS * _MICROS_A_DAY >> _PART_BITS))
+    return SeriesOrder(tuple(keys), bucket, F.shiftright(micros, _PART_BITS), (micros, *then))
 
 
 def previous(value: str) -> tuple[str, str]:
@@ -90,33 +105,27 @@ def ordered_scan(
 ) -> DataFrame:
     """Add ``columns`` (see :func:`previous`, :func:`last_known`, :func:`running_max`) to every row.
 
-    ``max_rows=None`` says that the length of a series is bounded, and leaves its size unchecked.
+    ``max_rows=None`` says that the length of a series is bounded, and leaves it in one piece.
     """
-    cuts = _cuts_of_long_series(df, series, max_rows) if max_rows else None
-    if cuts is None:
-        window = Window.partitionBy(*series.keys).orderBy(*series.order)
+    if max_rows is None:
+        window = Window.partitionBy(*series.keys).orderBy(*series.place)
         return df.select("*", *(_in_window(spec, window).alias(name) for name, spec in columns.items()))
 
-    keys = list(series.keys)
-    pieces = _left_join(df, cuts, keys).withColumn(
-        "_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_number_below(F.col("_cuts"), series.position))
-    )
-    window = Window.partitionBy(*keys, "_piece").orderBy(*series.order)
-    local = pieces.drop("_cuts").select(
-        "*", *(_in_window(spec, window).alias(f"_in_{name}") for name, spec in columns.items())
-    )
+    pieces = _in_pieces(df, series, max_rows)
+    window = Window.partitionBy("_piece").orderBy(*series.place)
+    local = pieces.select("*", *(_in_window(spec, window).alias(f"_in_{name}") for name, spec in columns.items()))
 
-    place = F.struct(*series.order)
-    summary = pieces.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_piece").agg(
+    place = F.struct(*series.place)
+    summary = pieces.where(F.col("_piece.at").isNotNull()).groupBy("_piece").agg(
         *(_summary(spec, place).alias(f"_all_{name}") for name, spec in columns.items())
     )
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_piece.series").orderBy("_piece.at").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        *keys, "_piece",
+        "_piece",
         *(_carry(spec, F.col(f"_all_{name}")).over(before).alias(f"_before_{name}") for name, spec in columns.items()),
     )
-    # the rows already lie by series and piece, so whichever join Spark picks they are not moved again
-    joined = _left_join(local, carried, keys + ["_piece"])
+    # the rows already lie by piece, a struct, which is never null: only the summaries are moved to them
+    joined = local.join(carried, "_piece", "left")
     return joined.select(
         *(F.col(f"`{c}`") for c in df.columns),
         *(
@@ -126,11 +135,34 @@ def ordered_scan(
     )
 
 
-def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """A left (or left semi) join in which null keys meet null keys."""
+def _in_pieces(df: DataFrame, series: SeriesOrder, max_rows: int) -> DataFrame:
+    """``df`` with ``_piece``: the series, and the place of the piece in it, null for series that are one piece."""
+    keys = list(series.keys)
+    rows = df.withColumn("_bucket", series.bucket)
+    sizes = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = F.when(F.col("_n") > max_rows, F.col("_bucket"))
+    # fewer than all rows divided by max_rows, both the series and what they list
+    long = sizes.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.collect_list(crowded).alias("_crowded"))
+    rows = _left_join(rows, F.broadcast(long.where(F.col("_all") > max_rows).drop("_all")), keys)
+    rows = rows.withColumn("_part", F.when(F.array_contains("_crowded", F.col("_bucket")), series.part))
+
+    group = [*keys, "_bucket", "_part"]
+    parts = rows.where("_part IS NOT NULL").groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.where(F.col("_n") > max_rows).select(*group, F.lit(True).alias("_full"))
+    rows = _left_join(rows, F.broadcast(parts), group)
+    share = F.pmod(F.xxhash64(*_hashable(df)), F.lit(EQUAL_PLACES))
+    full = F.struct(F.struct(*series.place).alias("place"), share.alias("share"))
+    at = F.struct("_bucket", "_part", F.when(F.col("_full"), full).alias("_within"))
+    at = F.when(F.col("_crowded").isNotNull(), at)
+    piece = F.struct(F.struct(*keys).alias("series"), at.alias("at")).alias("_piece")
+    return rows.select(*(F.col(f"`{c}`") for c in df.columns), piece)
+
+
+def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A left join in which null keys meet null keys."""
     side = side.select(*(F.col(f"`{c}`").alias(f"_side_{c}" if c in keys else c) for c in side.columns))
     same = reduce(lambda a, b: a & b, (df[k].eqNullSafe(side[f"_side_{k}"]) for k in keys))
-    return df.join(side, same, how).drop(*(f"_side_{k}" for k in keys))
+    return df.join(side, same, "left").drop(*(f"_side_{k}" for k in keys))
 
 
 def _in_window(spec: tuple[str, str], window) -> Column:
@@ -155,49 +187,3 @@ def _carry(spec: tuple[str, str], summary: Column) -> Column:
 
 def _combine(spec: tuple[str, str], inside: Column, before: Column) -> Column:
     return F.greatest(inside, before) if spec[0] == "running_max" else F.coalesce(inside, before)
-
-
-def _cuts_of_long_series(df: DataFrame, series: SeriesOrder, max_rows: int) -> DataFrame | None:
-    """Cut points of every series above ``max_rows``, or None when there is no such series.
-
-    What comes to the driver is bounded by (rows of df / max_rows) series of MAX_PIECES numbers.
-    """
-    keys = list(series.keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).collect()
-    if not sizes:
-        return None
-    key_fields = [df.schema[k] for k in keys]
-    wanted = {
-        tuple(row[k] for k in keys): min(MAX_PIECES, math.ceil(row["_n"] / max_rows)) for row in sizes
-    }
-    pieces = max(wanted.values())
-    spark = df.sparkSession
-    long_keys = spark.createDataFrame([tuple(k) for k in wanted], T.StructType(key_fields))
-    shares = [i / pieces for i in range(1, pieces)]
-    sketches = (
-        _left_join(df, long_keys, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(series.position, shares, max(10_000, 4 * pieces)).alias("_cuts"))
-        .collect()
-    )
-    rows = []
-    for row in sketches:
-        key = tuple(row[k] for k in keys)
-        step = max(1, pieces // wanted[key])
-        rows.append((*key, sorted(set(row["_cuts"][step - 1::step]))))
-    schema = T.StructType(key_fields + [T.StructField("_cuts", T.ArrayType(T.LongType()))])
-    return spark.createDataFrame(rows, schema)
-
-
-def _number_below(cuts: Column, position: Column) -> Column:
-    """How many of the sorted ``cuts`` lie below ``position``, by binary search."""
-    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + 1)).cast("int") + 1)
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.shiftright(state["lo"] + state["hi"], 1)
-        right = F.struct((middle + 1).alias("lo"), state["hi"].alias("hi"))
-        left = F.struct(state["lo"].alias("lo"), middle.alias("hi"))
-        return F.when(state["lo"] >= state["hi"], state).when(F.get(cuts, middle) < position, right).otherwise(left)
-
-    return F.aggregate(halvings, start, halve, lambda state: state["lo"])

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pricemart.functions.series import (
     MAX_ROWS_PER_TASK,
-    SeriesOrder,
+    by_time,
     last_known,
     newest,
     newest_n,
@@ -128,9 +128,7 @@ def version_history(versions: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> D
     Versions with the same key and time are one row, the last written.
     """
     rows = newest(versions, ["instrument_id", "valid_from"], *_last_written_first(versions))
-    newest_first = SeriesOrder(
-        ("instrument_id",), (-F.unix_micros("valid_from"),), -F.unix_seconds("valid_from")
-    )
+    newest_first = by_time(["instrument_id"], -F.unix_micros("valid_from"))
     closed = ordered_scan(rows.drop("valid_to"), newest_first, {"valid_to": previous("valid_from")}, max_rows)
     return closed.select(*versions.columns)
 
@@ -153,8 +151,7 @@ def instruments_as_of(
         requests.select("instrument_id", "known_at", F.lit(1).alias("_request")), allowMissingColumns=True
     )
     # of versions with the same time the last written comes last
-    place = (F.col("known_at"), F.col("_request"), F.col("_written"))
-    order = SeriesOrder(("instrument_id",), place, F.unix_micros("known_at"))
+    order = by_time(["instrument_id"], F.unix_micros("known_at"), F.col("_request"), F.col("_written"))
     merged = ordered_scan(line, order, {"_known": last_known("_version")}, max_rows).where(F.col("_request") == 1)
     live = merged.where(~F.coalesce(F.col("_known.is_delete_marker"), F.lit(False)))
     described = live.select("instrument_id", "known_at", _parsed("_known.snapshot"))
@@ -229,7 +226,7 @@ def patch_instruments(
         **{name: F.col(name) for name in REPLACED_IF_NOT_NULL if name in patches.columns},
     }
     rows = patches.select("instrument_id", "patched_at", *(c.alias(f"_given_{n}") for n, c in given.items()))
-    order = SeriesOrder(("instrument_id",), (F.col("patched_at"),), F.unix_micros("patched_at"))
+    order = by_time(["instrument_id"], F.unix_micros("patched_at"))
     folded = ordered_scan(rows, order, {f"_new_{n}": last_known(f"_given_{n}") for n in given}, max_rows)
     updated = folded.join(current, "instrument_id").select(
         "instrument_id",

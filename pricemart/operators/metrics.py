@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricemart.functions.series import MAX_ROWS_PER_TASK, SeriesOrder, ordered_scan, previous, running_max
+from pricemart.functions.series import MAX_ROWS_PER_TASK, SeriesOrder, by_day, ordered_scan, previous, running_max
 from pricemart.functions.text import two_decimals
 from pricemart.operators.prices import SERIES, default_range, latest_daily_prices, scan_range
 
@@ -23,8 +23,6 @@ TOO_FEW_CLOSES = "Need at least two close values to estimate risk."
 HIGH_VOLATILITY, HIGH_DRAWDOWN = 3, 15
 MEDIUM_VOLATILITY, MEDIUM_DRAWDOWN = 1, 5
 
-_SECONDS_BITS = 36
-
 
 def points_of(prices: DataFrame, versions: str = "all") -> DataFrame:
     """The rows that the metrics count."""
@@ -53,12 +51,8 @@ def price_order(points: DataFrame) -> SeriesOrder:
     """Rows of a series by date ascending and, inside a date, newest version first."""
     days = F.unix_date(F.col("record_date")).cast("long")
     if _by_day_only(points):
-        return SeriesOrder(SERIES, (F.col("record_date"),), days)
-    loaded = F.col("system_date").cast("timestamp")
-    top = 2**_SECONDS_BITS - 1
-    seconds = F.least(F.greatest(F.unix_seconds(loaded), F.lit(0)), F.lit(top))
-    position = days * F.lit(2**_SECONDS_BITS) + (F.lit(top) - seconds)
-    return SeriesOrder(SERIES, (F.col("record_date"), -F.unix_micros(loaded)), position)
+        return by_day(SERIES, days)
+    return by_day(SERIES, days, -F.unix_micros(F.col("system_date").cast("timestamp")))
 
 
 def _aggregate_columns() -> list[Column]:

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricemart.functions.series import MAX_ROWS_PER_TASK, SeriesOrder, last_known, newest, newest_n, ordered_scan
+from pricemart.functions.series import MAX_ROWS_PER_TASK, by_time, last_known, newest, newest_n, ordered_scan
 from pricemart.functions.text import number_text
 
 SERIES = ("instrument_id", "source_id")
@@ -166,7 +166,7 @@ def prices_as_of(prices: DataFrame, requests: DataFrame, max_rows: int = MAX_ROW
     ).unionByName(
         requests.select(*PRICE_KEY, "known_at", F.lit(1).alias("_request")), allowMissingColumns=True
     )
-    order = SeriesOrder(PRICE_KEY, (F.col("known_at"), F.col("_request")), F.unix_micros("known_at"))
+    order = by_time(PRICE_KEY, F.unix_micros(F.col("known_at").cast("timestamp")), F.col("_request"))
     merged = ordered_scan(line, order, {"_known": last_known("_version")}, max_rows)
     return merged.where(F.col("_request") == 1).select(
         *PRICE_KEY, "known_at", *(F.col("_known")[c].alias(c) for c in values)

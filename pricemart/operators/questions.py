@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pricemart.functions.automaton import TABLE_CELLS, Automaton, parts
 from pricemart.functions.series import newest, newest_n
 from pricemart.functions.text import number_text, or_none, snippet
 from pricemart.operators.prices import SERIES
@@ -38,7 +42,9 @@ SOME_FAILED = "Some tool calls failed and were ignored for the final summary."
 EVIDENCE_TITLE = "Grounding evidence:"
 EVIDENCE_RUNS = 4
 
-#: The numbers of leading characters by which symbols are looked up.
+#: Characters of the largest dictionary whose automata are built on the driver and sent to the tasks.
+DICTIONARY_CHARS = 4_000_000
+#: The numbers of leading characters by which symbols of a larger one are looked up.
 STEMS = (1, 2, 4)
 
 # fixed values: report sentence per kind of result, with the fields it shows
@@ -69,29 +75,62 @@ def symbol_dictionary(listing: DataFrame) -> DataFrame:
 
 
 def first_symbol(
-    questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str = "user_prompt"
+    questions: DataFrame, dictionary: DataFrame, key: Sequence[str], text: str = "user_prompt",
+    cells: int = TABLE_CELLS, driver_chars: int = DICTIONARY_CHARS,
 ) -> DataFrame:
     """The first dictionary symbol that occurs anywhere in each question, null if none does.
 
-    At every place of a text its next one, two and four characters are looked up among the first characters
-    of the symbols (the longest of STEMS that a symbol has), and what meets is compared in full, so cost grows
-    with the text and not with text times symbols. Equal texts are looked up once; a question keeps its row
-    whatever its key is, null and repeated keys too.
+    Every text is read once by an automaton of all symbols, so cost grows with the text, whatever the number of
+    symbols and however alike they are, and no text is shuffled. Symbols with more than ``cells`` cells of a table
+    together are dealt by first characters to several automata. What is sent to the tasks is checked first: a
+    dictionary of more than ``driver_chars`` characters is joined with what stands at each place of the texts. A
+    question keeps its row whatever its key is.
     """
-    upper = F.upper(text)
-    asked = questions.select(upper.alias("asked")).where("asked IS NOT NULL").distinct()
+    words = dictionary.where("symbol <> ''").select("symbol", "instrument_id", "position")
+    chars, longest = words.agg(F.coalesce(F.sum(F.length("symbol")), F.lit(0)), F.max(F.length("symbol"))).first()
+    if chars > driver_chars:
+        return _joined_symbols(questions, words, key, text, longest)
+    words = words.orderBy("position", "symbol").select("symbol", "instrument_id").toArrow()
+    found = T.StructType([
+        T.StructField("place", T.LongType()), T.StructField("symbol", T.StringType()),
+        T.StructField("instrument_id", dictionary.schema["instrument_id"].dataType),
+    ])
+    groups = parts(words.column("symbol").to_pylist(), cells)
+    hits = [_lookup(words.take(places), places, found)(F.upper(text)) for places in groups]
+    # the struct with the smallest place, null where no automaton found anything
+    first = F.least(*hits) if len(hits) > 1 else hits[0] if hits else F.lit(None).cast(found)
+    return questions.withColumn("_hit", first).select(*key, "_hit.symbol", "_hit.instrument_id")
+
+
+def _joined_symbols(questions: DataFrame, words: DataFrame, key: Sequence[str], text: str, longest: int) -> DataFrame:
+    """As :func:`first_symbol` by joins: of each place as many characters as the longest symbol has are looked at."""
+    named = F.unhex(F.md5(F.upper(text).cast("binary")))
+    asked = questions.select(named.alias("asked"), F.upper(text).alias("upper")).where("upper <> ''").dropDuplicates(["asked"])
     stem = F.coalesce(*(F.when(F.length("symbol") >= n, F.substring("symbol", 1, n)) for n in sorted(STEMS, reverse=True)))
-    symbols = dictionary.select("symbol", "instrument_id", "position", stem.alias("stem"))
-    places = asked.where(F.length("asked") > 0).select(
-        "asked", F.explode(F.sequence(F.lit(1), F.length("asked"))).alias("at")
-    )
-    stems = F.array(*(F.substring(F.col("asked"), F.col("at"), F.lit(n)) for n in STEMS))
-    pieces = places.select("asked", "at", F.explode(F.array_distinct(stems)).alias("stem"))
-    same = F.substring(F.col("asked"), F.col("at"), F.length("symbol")) == F.col("symbol")
-    found = pieces.join(symbols, "stem").where(same).groupBy("asked").agg(
-        F.min_by("symbol", "position").alias("symbol"), F.min_by("instrument_id", "position").alias("instrument_id")
-    )
-    return questions.withColumn("asked", upper).join(found, "asked", "left").select(*key, "symbol", "instrument_id")
+    spans = F.transform(F.sequence(F.lit(1), F.length("upper")), lambda at: F.substring(F.col("upper"), at, F.lit(longest)))
+    spans = asked.select("asked", F.explode(F.array_distinct(spans)).alias("span"))
+    stems = F.array_distinct(F.array(*(F.substring("span", 1, n) for n in STEMS)))
+    met = spans.select("asked", "span", F.explode(stems).alias("stem")).join(words.withColumn("stem", stem), "stem")
+    first = F.min(F.struct("position", "symbol", "instrument_id")).alias("first")
+    found = met.where(F.col("span").startswith(F.col("symbol"))).groupBy("asked").agg(first)
+    return questions.withColumn("asked", named).join(found, "asked", "left").select(*key, "first.symbol", "first.instrument_id")
+
+
+def _lookup(words: pa.Table, places: list[int], found: T.StructType):
+    """A function from texts to the first of some of the dictionary's words, with their places in all of it."""
+    order = np.argsort(places, kind="stable")
+    words, place = words.take(order).combine_chunks(), np.array(places, np.int64)[order]
+    automaton = Automaton(words.column("symbol").to_pylist())
+    columns = [pa.array(np.append(place, 0)), *(pa.concat_arrays([*c.chunks, pa.nulls(1, c.type)]) for c in words.columns)]
+
+    @F.arrow_udf(found)
+    def lookup(texts: pa.Array) -> pa.Array:
+        at = automaton.first_words(texts.to_pylist())
+        return pa.StructArray.from_arrays(
+            [c.take(pa.array(at)) for c in columns], names=found.names, mask=pa.array(at == automaton.none)
+        )
+
+    return lookup
 
 
 def intents(questions: DataFrame, text: str = "user_prompt") -> DataFrame:

@@ -1,8 +1,10 @@
 import json
+import random
 from decimal import Decimal
 
 import pytest
 
+from pricemart.functions.automaton import Automaton, parts
 from pricemart.operators import metrics
 from pricemart.operators import questions as ops
 
@@ -23,13 +25,43 @@ def test_dictionary_keeps_first_place_and_last_id(dictionary):
         ("7", "8", 5), ("KOBOLD", "2", 1), ("QZ", "7", 0), ("ZZO", "9", 6), ("ZZORB", "3", 2)]
 
 
-def test_first_symbol(spark, dictionary):
+#: In one automaton, in one for each symbol, and joined.
+WAYS = [{}, {"cells": 1}, {"driver_chars": 0}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_first_symbol(spark, dictionary, way):
     """The first listed symbol found anywhere in the text."""
     asked = spark.createDataFrame(ASKED, "q int, user_prompt string")
-    got = {r.q: r.instrument_id for r in ops.first_symbol(asked, dictionary, ["q"]).collect()}
+    got = {r.q: r.instrument_id for r in ops.first_symbol(asked, dictionary, ["q"], **way).collect()}
     assert got == {1: "2", 2: "7", 3: "7", 4: None, 5: None, 6: "3", 7: None, 8: "3", 9: "9", 10: "8"}
 
 
+def test_symbols_of_one_stem_and_long_texts(spark):
+    rng = random.Random(4)
+    symbols = ["SAME" + "".join(rng.choice("ABC") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    listing = [(s, n, n) for n, s in enumerate(dict.fromkeys(symbols))]
+    texts = ["".join(rng.choice("SAMEABC") for _ in range(n)) for n in (0, 1, 40, 3000)]
+    texts += [("q" * 255 + listing[n][0] + "z") * 2 for n in (5, 77)] + ["same" * 400 + listing[9][0].lower()]
+    asked = spark.createDataFrame(list(enumerate(texts)), "q int, user_prompt string")
+    frame = spark.createDataFrame(listing, "symbol string, instrument_id long, position long")
+    for way in WAYS[::2]:
+        got = {r.q: r.symbol for r in ops.first_symbol(asked, frame, ["q"], **way).collect()}
+        assert got == {n: next((s for s, _, _ in listing if s in t.upper()), None) for n, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_automaton_against_brute_force(seed):
+    rng = random.Random(seed)
+    words = list(dict.fromkeys("".join(rng.choice("abé𝒳") for _ in range(rng.randrange(1, 6))) for _ in range(25)))
+    texts = [None, "", "zzz"] + ["".join(rng.choice("abé𝒳z") for _ in range(rng.randrange(1, 700))) for _ in range(30)]
+    expected = [next((n for n, w in enumerate(words) if w in (t or "")), len(words)) for t in texts]
+    assert Automaton(words).first_words(texts).tolist() == expected
+    groups = parts(words, 60)
+    assert sorted(n for g in groups for n in g) == list(range(len(words))) and len(groups) > 1
+    assert all(Automaton([words[n] for n in g]).next.size <= 60 for g in groups if len(g) > 1)
+
+
 def test_first_symbol_of_repeated_and_null_keys(spark, dictionary):
     asked = spark.createDataFrame([(1, "kobold?"), (1, "qz again"), (None, "zzorb"), (None, "none")], "q int, user_prompt string")
     got = sorted((str(r.q), str(r.symbol)) for r in ops.first_symbol(asked, dictionary, ["q"]).collect())

@@ -38,7 +38,7 @@ def rounded(frame):
 
 
 def scan(spark, rows, max_rows):
-    order = SeriesOrder(("k",), (F.col("t"),), F.col("t"))
+    order = SeriesOrder(("k",), F.floor(F.col("t") / 100), F.floor(F.col("t") / 10), (F.col("t"),))
     frame = ordered_scan(spark.createDataFrame(rows, SCHEMA), order, COLUMNS, max_rows)
     return sorted((tuple(r) for r in frame.collect()), key=lambda r: (r[0] or "", r[1]))
 
@@ -58,6 +58,32 @@ def test_series_without_key_in_pieces(spark):
     assert [r[1:] for r in got if r[0] is None] == [r[1:] for r in brute_force([("x", t, v) for _, t, v in rows[:50]])]
 
 
+def test_all_rows_at_one_place(spark):
+    """Rows of one place come in any order, but each sees another number of rows before it."""
+    rows = spark.range(3000).selectExpr("'hot' AS k", "5L AS t", "id AS v")
+    order = SeriesOrder(("k",), F.col("t"), F.col("t"), (F.col("t"),))
+    got = ordered_scan(rows, order, COLUMNS, 100).cache()
+    assert got.count() == 3000 and got.where("before IS NULL").count() == 1
+    assert got.where("known <> v OR peak < v OR peak < before").count() == 0
+    # every value but the last one is the one before of exactly one other
+    assert got.select("before").distinct().count() == 3000
+    assert got.agg(F.max("peak")).first()[0] == 2999
+
+
+def test_one_plan_for_every_size(spark, prices):
+    """Nothing runs while the frame is built."""
+    tracker = spark.sparkContext.statusTracker()
+    rows = prices(*({"close_price": Decimal(n + 1)} for n in range(5)))
+    spark.sparkContext.setJobGroup("built", "built")
+    try:
+        for max_rows in (1, 10**6):
+            metrics.metrics_report(rows, max_rows=max_rows)
+            metrics.returns(rows, max_rows=max_rows)
+        assert not tracker.getJobIdsForGroup("built")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-5, 5) | st.none()), min_size=1, max_size=40), st.integers(1, 9))
 def test_any_series_in_pieces(spark, values, max_rows):
