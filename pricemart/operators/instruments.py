@@ -105,6 +105,12 @@ def source_summaries(sources: DataFrame, page_size: int = 1000) -> DataFrame:
     return sources.select("source_id", "source_name", "source_type").orderBy("source_id").limit(page_size)
 
 
+def source_by_id(sources: DataFrame, source_id: Any) -> DataFrame:
+    """All details of the data source with this id, or nothing."""
+    kind = sources.schema["source_id"].dataType
+    return sources.where(F.col("source_id") == F.lit(source_id).cast(kind))
+
+
 def instruments_by_symbol(current: DataFrame) -> DataFrame:
     """One live instrument per symbol, compared trimmed and upper-cased: the one created last."""
     keyed = current.withColumn("symbol_key", normal_symbol(F.col("symbol")))

@@ -207,9 +207,9 @@ def comparison_sheets(compared: DataFrame) -> DataFrame:
     return compared.select(*ids, _json({name: shown(name) for name in fields}).alias("raw"))
 
 
-def instrument_listing(current: DataFrame) -> DataFrame:
-    """One JSON document per live instrument."""
-    return current.select("instrument_id", _json({
+def instrument_listing(current: DataFrame, *kept: str) -> DataFrame:
+    """One JSON document per live instrument, with the columns that are ``kept``."""
+    return current.select("instrument_id", *kept, _json({
         "instrument_id": F.col("instrument_id").cast("string"), "symbol": F.col("symbol"), "name": F.col("name"),
         "class": F.col("instrument_class"), "region": F.col("region"),
     }).alias("raw"))
@@ -230,8 +230,11 @@ def source_listing(sources: DataFrame) -> DataFrame:
     }).alias("raw"))
 
 
-def _report_line(name: Column, raw: Column) -> Column:
-    """The sentence of one successful result; null for results a report does not show."""
+def _report_line(name: Column, raw: Column, items: Column) -> Column:
+    """The sentence of one successful result; null for results a report does not show.
+
+    ``items`` is how long a list is of which ``raw`` has only the start, else null.
+    """
     line = F.lit(None).cast("string")
     for kind, (title, fields) in REPORT_SENTENCES.items():
         shown = F.concat_ws(", ", *(
@@ -244,7 +247,7 @@ def _report_line(name: Column, raw: Column) -> Column:
         F.coalesce(i["symbol"], F.lit("?")), F.lit(" ("), F.coalesce(i["instrument_id"], F.lit("?")), F.lit(")")
     ))
     found = F.concat(
-        F.lit("Found "), F.size(listed).cast("string"), F.lit(" instruments in the warehouse."),
+        F.lit("Found "), F.coalesce(items, F.size(listed)).cast("string"), F.lit(" instruments in the warehouse."),
         F.when(F.size(listed) > 0, F.concat(
             F.lit("\nSample instruments: "), F.array_join(samples, ", "), F.lit(".")
         )).otherwise(""),
@@ -260,13 +263,14 @@ def _report_line(name: Column, raw: Column) -> Column:
 def grounded_reports(runs: DataFrame, key: Sequence[str]) -> DataFrame:
     """Report text per key: a sentence for the last successful result of each kind, then the evidence.
 
-    However many runs a key has, at most one per kind and the last few are brought together.
+    Runs may have ``items``, the length of a list whose ``raw`` is cut off after its first entries. However many runs a key has, at most one per kind and the last few are brought together.
     """
     keys = list(key)
     good = runs.where(F.col("error").isNull())
+    items = F.col("items") if "items" in runs.columns else F.lit(None).cast("long")
     last = newest(good, [*keys, "name"], F.col("seq").desc())
     place = F.array_position(F.array(*(F.lit(n) for n in REPORT_ORDER)), F.col("name"))
-    lines = last.select(*keys, place.alias("_place"), _report_line(F.col("name"), F.col("raw")).alias("_line"))
+    lines = last.select(*keys, place.alias("_place"), _report_line(F.col("name"), F.col("raw"), items).alias("_line"))
     body = lines.where(F.col("_line").isNotNull()).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("_place", "_line"))).alias("_lines")
     ).select(*keys, F.col("_lines._line").alias("_lines"))

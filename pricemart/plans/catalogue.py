@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricemart.functions.text import normal_symbol, stable_id
-from pricemart.operators import audit, ingest, instruments, metrics, prices, questions, regression, rolling
+from pricemart.functions.text import is_uuid, normal_symbol, stable_id
+from pricemart.operators import answers, audit, ingest, instruments, metrics, prices, questions, regression, rolling
 from pricemart.plans.jobs import load_records, rolling_average_job
 from pricemart.session import configure, scratch_path, shared_dir
 from pricemart.sources import driver_tables as driver
@@ -1093,9 +1093,42 @@ def short_series(spark, folder):
     return regression.short_series(regression.price_features(daily))
 
 
-@query()
+def _models_sql() -> str:
+    """Least squares of every series: covariances scaled to correlations, elimination, back substitution."""
+    names, size = regression.FEATURES, len(regression.FEATURES)
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    moments = ", ".join([
+        *(f"avg({n}) AS m{i}" for i, n in enumerate(names)), "avg(label) AS m", "var_pop(label) AS cy",
+        *(f"covar_pop({names[i]}, {names[j]}) AS c{i}_{j}" for i, j in pairs), *(f"covar_pop({n}, label) AS c{i}" for i, n in enumerate(names)),
+    ])
+    scaled = ", ".join([
+        *(f"c{i}_{j} / sqrt(c{i}_{i} * c{j}_{j}) AS a{i}_{j}" for i, j in pairs), *(f"c{i} / sqrt(c{i}_{i}) AS b{i}" for i in range(size)),
+    ])
+    steps = []
+    for k in range(size - 1):
+        left = [f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" for i, j in pairs if i > k]
+        left += [f"b{i} - a{k}_{i} * b{k} / a{k}_{k} AS b{i}" for i in range(k + 1, size)]
+        steps.append(f"e{k + 1} AS (SELECT * REPLACE ({', '.join(left)}) FROM e{k})")
+    back = f"e{size - 1}"
+    for i in reversed(range(size)):
+        known = "".join(f" - a{i}_{j} * x{j}" for j in range(i + 1, size))
+        steps.append(f"x{i}s AS (SELECT *, (b{i}{known}) / a{i}_{i} AS x{i} FROM {back})")
+        back = f"x{i}s"
+    weights = ", ".join(f"x{i} / sqrt(c{i}_{i}) AS w{i}" for i in range(size))
+    return f"""{FEATURES},
+moments AS (SELECT instrument_id, source_id, count(*) AS training_rows, {moments} FROM f
+            WHERE lag_3_close IS NOT NULL AND label IS NOT NULL GROUP BY ALL HAVING count(*) >= {regression.MIN_TRAINING_ROWS}),
+e0 AS (SELECT *, {scaled} FROM moments), {", ".join(steps)},
+weighted AS (SELECT *, {weights} FROM {back}),
+models AS (SELECT *, m{"".join(f" - w{i} * m{i}" for i in range(size))} AS intercept,
+                  sqrt(greatest(CAST(0 AS DOUBLE), cy{"".join(f" - w{i} * c{i}" for i in range(size))})) AS training_rmse FROM weighted)"""
+
+
+@query(_models_sql() + f"""
+SELECT instrument_id, source_id, training_rows, round(intercept, 3) AS intercept, round(training_rmse, 3) AS training_rmse,
+       {", ".join(f"round(w{i}, 4) AS weight_{n}" for i, n in enumerate(regression.FEATURES))} FROM models""")
 def ols_per_series(spark, folder):
-    """Fitted coefficients of every series; checked against MLlib and numpy in the tests."""
+    """Fitted coefficients of every series; compared with MLlib and numpy too, in the tests."""
     fitted = regression.series_models(_features(spark, folder))
     return fitted.select(
         *IDS, "training_rows", rounded("intercept", 3), rounded("training_rmse", 3),
@@ -1103,7 +1136,11 @@ def ols_per_series(spark, folder):
     )
 
 
-@query()
+@query(_models_sql() + f"""
+SELECT instrument_id, source_id, CAST(record_date AS VARCHAR) AS last_record_date, training_rows, round(training_rmse, 3) AS training_rmse,
+       round(intercept{"".join(f" + w{i} * {n}" for i, n in enumerate(regression.FEATURES))}, 3) AS predicted_next_close
+FROM models JOIN (SELECT *, row_number() OVER (PARTITION BY instrument_id, source_id ORDER BY record_date DESC) AS rn FROM f
+                  WHERE lag_3_close IS NOT NULL) USING (instrument_id, source_id) WHERE rn = 1""")
 def ols_predictions(spark, folder):
     """The next close of every series by its own model."""
     frame = _features(spark, folder)
@@ -1156,7 +1193,7 @@ def question_intents(spark, folder):
     return questions.intents(driver.questions(spark, folder)).drop("user_prompt")
 
 
-@query(EVENTS_REPORT + f"""
+@query(WHOLE_REPORT + f"""
 SELECT instrument_id, source_id, CASE WHEN mean IS NULL THEN '{questions.NO_ANALYTICS}' END AS analytics,
        CASE WHEN closes < 2 THEN '{questions.NO_TREND}' END AS trend,
        CASE WHEN e IS NULL THEN '{questions.NO_FORECAST}' END AS forecast,
@@ -1164,10 +1201,10 @@ SELECT instrument_id, source_id, CASE WHEN mean IS NULL THEN '{questions.NO_ANAL
        CASE WHEN n = 0 THEN '{questions.NO_SERIES}' END AS time_series
 FROM r""")
 def insufficient_flags(spark, folder):
-    return questions.insufficient_flags(_report(spark, folder))
+    return questions.insufficient_flags(_whole_report(spark, folder))
 
 
-@query(EVENTS_REPORT + f"""
+@query(WHOLE_REPORT + f"""
 SELECT instrument_id, source_id, 0 AS seq, 'get_analytics' AS name, CAST(n AS VARCHAR) AS shown,
        CASE WHEN mean IS NULL THEN '{questions.NO_ANALYTICS}' END AS error FROM r
 UNION ALL SELECT instrument_id, source_id, 1, 'get_trend', direction,
@@ -1181,7 +1218,7 @@ def fact_sheets(spark, folder):
     first = F.coalesce(*(
         F.get_json_object("raw", f"$.{field}") for field in ("count", "direction", "method", "signal")
     ))
-    return questions.fact_sheets(_report(spark, folder)).select(*IDS, "seq", "name", first.alias("shown"), "error")
+    return questions.fact_sheets(_whole_report(spark, folder)).select(*IDS, "seq", "name", first.alias("shown"), "error")
 
 
 @query(WHOLE_REPORT + f"""
@@ -1237,12 +1274,6 @@ def fact_sheets_all_dates(spark, folder):
     )
 
 
-@query()
-def grounded_reports(spark, folder):
-    """Report text of every series from its fact sheets; its sentences are checked in the tests."""
-    return questions.grounded_reports(questions.fact_sheets(_whole_report(spark, folder)), IDS)
-
-
 @query(f"""{EVENTS}, g AS (SELECT instrument_id, source_id, count(*) AS n, avg(close_price) AS a FROM ep GROUP BY ALL)
 SELECT a.source_id, a.instrument_id AS instrument_a_id, a.n AS instrument_a_count, coalesce(b.n, 0) AS instrument_b_count,
        round(coalesce(a.a - b.a, -1), 6) AS avg_close_diff
@@ -1298,3 +1329,310 @@ def tool_usage(spark, folder):
     ))
     answers = asked.select("session_id", "asked_order", "user_prompt", tools.alias("tools"))
     return questions.tool_usage(questions.question_log_rows(answers))
+
+
+# ---- reports and answers ----------------------------------------------------------------------------
+
+#: Numbers of texts are compared to six digits after the point.
+def six_digits(name: str) -> Column:
+    return F.regexp_replace(name, r"(\d\.\d{6})\d+", "$1").alias(name)
+
+
+def _number_sql(value: str) -> str:
+    return rf"regexp_replace(CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,12)) AS VARCHAR), '\.?0+$', '')"
+
+
+def _json_sql(value: str) -> str:
+    return f"""coalesce('"' || {_number_sql(value)} || '"', 'null')"""
+
+
+def _shown_sql(value: str) -> str:
+    return f"coalesce({_number_sql(value)}, 'None')"
+
+
+#: Facts of every series that is asked for, also of one without prices; ``requested`` names them.
+FACTS = f"""
+x AS (SELECT instrument_id, source_id, min(close_price) AS low, max(close_price) AS high FROM part GROUP BY ALL),
+facts AS (
+  SELECT instrument_id, source_id, coalesce(n, 0) AS n, coalesce(closes, 0) >= 2 AS enough, low, high, mean,
+         coalesce(volume, 0) AS volume, coalesce(direction, 'flat') AS direction, coalesce(signal, 'insufficient_data') AS signal,
+         CASE WHEN closes >= 2 THEN s END AS s, CASE WHEN closes >= 2 THEN r.e END AS e2, r.e,
+         CASE WHEN closes >= 2 THEN r.e - s END AS change, CASE WHEN closes >= 2 AND s <> 0 THEN (r.e - s) / s * 100 END AS pct,
+         CASE WHEN closes >= 2 THEN v END AS v, CASE WHEN closes >= 2 THEN d END AS d,
+         CASE WHEN coalesce(closes, 0) < 2 THEN '{metrics.TOO_FEW_CLOSES}'
+              ELSE printf('Risk is %s (volatility=%.2f%%, max_drawdown=%.2f%%).', signal, coalesce(v, 0), d) END AS summary
+  FROM requested LEFT JOIN r USING (instrument_id, source_id) LEFT JOIN x USING (instrument_id, source_id)),
+sheets AS (
+  SELECT instrument_id, source_id, 0 AS seq, 'get_analytics' AS name,
+         CASE WHEN mean IS NULL THEN '{questions.NO_ANALYTICS}' END AS error,
+         '{{"count":' || n || ',"min_close":' || {_json_sql('low')} || ',"max_close":' || {_json_sql('high')} ||
+         ',"avg_close":' || {_json_sql('mean')} || ',"total_volume":' || volume || '}}' AS raw,
+         'Analytics summary: count=' || n || ', min_close=' || {_shown_sql('low')} || ', max_close=' || {_shown_sql('high')} ||
+         ', avg_close=' || {_shown_sql('mean')} || ', total_volume=' || volume || '.' AS line FROM facts
+  UNION ALL
+  SELECT instrument_id, source_id, 1, 'get_trend', CASE WHEN NOT enough THEN '{questions.NO_TREND}' END,
+         '{{"direction":"' || direction || '","start_close":' || {_json_sql('s')} || ',"end_close":' || {_json_sql('e2')} ||
+         ',"change":' || {_json_sql('change')} || ',"change_pct":' || {_json_sql('pct')} || '}}',
+         'Trend summary: direction=' || direction || ', change=' || {_shown_sql('change')} || ', change_pct=' || {_shown_sql('pct')} || '.'
+  FROM facts
+  UNION ALL
+  SELECT instrument_id, source_id, 2, 'get_forecast', CASE WHEN e IS NULL THEN '{questions.NO_FORECAST}' END,
+         '{{"method":"naive_last_close","predicted_next_close":' || {_json_sql('e')} || '}}',
+         'Forecast summary: method=naive_last_close, predicted_next_close=' || {_shown_sql('e')} || '.' FROM facts
+  UNION ALL
+  SELECT instrument_id, source_id, 3, 'get_risk_signal', CASE WHEN NOT enough THEN '{questions.NO_RISK}' END,
+         '{{"signal":"' || signal || '","volatility_pct":' || {_json_sql('v')} || ',"max_drawdown_pct":' || {_json_sql('d')} ||
+         ',"summary":"' || summary || '"}}',
+         'Risk summary: signal=' || signal || ', volatility_pct=' || {_shown_sql('v')} || ', max_drawdown_pct=' || {_shown_sql('d')} || '.'
+  FROM facts)"""
+
+
+def _reports_sql(keys: str, name: str) -> str:
+    """The report of every key of ``runs`` (keys, seq, name, raw, error, line)."""
+    places = " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(questions.REPORT_ORDER))
+    return f"""
+good AS (SELECT *, row_number() OVER (PARTITION BY {keys}, name ORDER BY seq DESC) AS back,
+                row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC) AS last,
+                CASE WHEN length(raw) > 220 THEN raw[1:217] || '...' ELSE raw END AS snippet FROM runs WHERE error IS NULL),
+texts AS (
+  SELECT {keys}, string_agg(line, chr(10) ORDER BY CASE name {places} END) FILTER (WHERE back = 1 AND line IS NOT NULL) AS lines,
+         string_agg('- ' || name || ': ' || snippet, chr(10) ORDER BY seq) FILTER (WHERE last <= {questions.EVIDENCE_RUNS}) AS evidence
+  FROM good GROUP BY {keys}),
+reports AS (
+  SELECT {keys}, regexp_replace(CASE WHEN evidence IS NULL THEN '{questions.NOTHING_WORKED}'
+         ELSE coalesce(lines, '{questions.NOTHING_USABLE}') || chr(10) ||
+              CASE WHEN failed THEN '{questions.SOME_FAILED}' || chr(10) ELSE '' END || chr(10) ||
+              '{questions.EVIDENCE_TITLE}' || chr(10) || evidence END, '([0-9]\\.[0-9]{{6}})[0-9]+', '\\1', 'g') AS {name}
+  FROM (SELECT {keys}, bool_or(error IS NOT NULL) AS failed FROM runs GROUP BY {keys}) LEFT JOIN texts USING ({keys}))"""
+
+
+@query(WHOLE_REPORT + f""",
+requested AS (SELECT DISTINCT instrument_id, source_id FROM ep), {FACTS},
+runs AS (SELECT * FROM sheets), {_reports_sql("instrument_id, source_id", "report")}
+SELECT instrument_id, source_id, report FROM reports""")
+def grounded_reports(spark, folder):
+    """Report text of every series from its fact sheets."""
+    return questions.grounded_reports(questions.fact_sheets(_whole_report(spark, folder)), IDS).select(*IDS, six_digits("report"))
+
+
+def _earlier_runs(asked: DataFrame) -> DataFrame:
+    """What was asked before: a trend without data in every third session, a forecast in the next one."""
+    third = F.col("session_id") % 3
+    run = F.when(third == 0, F.struct(F.lit("get_trend").alias("name"), F.lit('{"direction":"flat"}').alias("raw"), F.lit(questions.NO_TREND).alias("error")))
+    run = run.when(third == 1, F.struct(
+        F.lit("get_forecast").alias("name"), F.lit('{"method":"mean","predicted_next_close":"7"}').alias("raw"), F.lit(None).cast("string").alias("error")))
+    return asked.select("session_id", "asked_order", F.lit(5).alias("seq"), run.alias("run")).where("run IS NOT NULL").select(
+        "session_id", "asked_order", "seq", "run.*")
+
+
+def _answers_sql() -> str:
+    wants = "\n  UNION ALL ".join(
+        f"SELECT q.*, {1_000_000 + n} AS seq, '{name}' AS name FROM q WHERE {flag}"
+        + {"get_trend": "", "get_forecast": " AND session_id % 3 <> 1"}.get(name, "")
+        for n, (flag, name) in enumerate(answers.REQUESTS.items())
+    )
+    keys = "session_id, asked_order"
+    return WHOLE_REPORT + f""", {DICTIONARY},
+listing AS (SELECT split_part(text, ' ', 1) AS symbol, conv_id AS instrument_id, conv_id * 1000 + turn AS position
+            FROM conversations WHERE role = 'assistant'),
+documents_of AS (
+  SELECT instrument_id, '{{"instrument_id":"' || instrument_id || '","symbol":' || CAST(to_json(symbol) AS VARCHAR) || ',"name":' ||
+         CAST(to_json(symbol) AS VARCHAR) || ',"class":"stock","region":"US"}}' AS raw, symbol,
+         row_number() OVER (ORDER BY position) AS rank FROM listing),
+kinds AS (SELECT DISTINCT event_type AS source_id FROM events),
+lists AS (
+  SELECT (SELECT '[' || string_agg(raw, ',' ORDER BY rank) || ']' FROM documents_of WHERE rank <= 7) AS instruments,
+         (SELECT '[' || string_agg('{{"source_id":"' || source_id || '","name":"' || source_id || '","type":"event"}}', ',' ORDER BY source_id)
+                 || ']' FROM (SELECT * FROM kinds ORDER BY 1 LIMIT 7)) AS sources,
+         (SELECT 'Found ' || count(*) || ' instruments in the warehouse.' FROM listing) || chr(10) || 'Sample instruments: ' ||
+         (SELECT string_agg(symbol || ' (' || instrument_id || ')', ', ' ORDER BY rank) FROM documents_of WHERE rank <= 5) || '.' AS found),
+flags AS ({_intents_sql()}),
+asked AS (SELECT conv_id AS session_id, turn AS asked_order, text AS user_prompt, {UPPER_TEXT} AS t FROM conversations WHERE role = 'user'),
+hits AS (SELECT {keys}, arg_min(instrument_id, position) AS found_id FROM asked JOIN dictionary ON contains(t, symbol) GROUP BY ALL),
+q AS (SELECT flags.*, coalesce(found_id, (SELECT instrument_id FROM documents_of WHERE rank = 1)) AS instrument_id,
+             (SELECT min(source_id) FROM kinds) AS source_id, (SELECT instrument_id FROM documents_of WHERE rank = 2) AS other_id
+      FROM flags LEFT JOIN hits USING ({keys})),
+asks AS ({wants}),
+requested AS (SELECT DISTINCT instrument_id, source_id FROM asks WHERE name <> 'compare_assets'), {FACTS},
+means AS (SELECT instrument_id, source_id, count(*) AS n, avg(close_price) AS mean FROM ep GROUP BY ALL),
+compared AS (
+  SELECT DISTINCT asks.instrument_id, source_id, coalesce(a.n, 0) AS an, coalesce(b.n, 0) AS bn, a.mean AS am, b.mean AS bm, a.mean - b.mean AS diff
+  FROM asks LEFT JOIN means a USING (instrument_id, source_id)
+  LEFT JOIN means b ON b.instrument_id = other_id AND b.source_id = asks.source_id WHERE name = 'compare_assets'),
+runs AS (
+  SELECT {keys}, seq, name, raw, error, line FROM asks JOIN (SELECT * EXCLUDE (seq) FROM sheets) USING (instrument_id, source_id, name)
+  UNION ALL
+  SELECT {keys}, seq, name, '{{"instrument_a_count":' || an || ',"instrument_b_count":' || bn || ',"instrument_a_avg_close":' || {_json_sql('am')} ||
+         ',"instrument_b_avg_close":' || {_json_sql('bm')} || ',"avg_close_diff":' || {_json_sql('diff')} || '}}', NULL,
+         'Comparison summary: instrument_a_count=' || an || ', instrument_b_count=' || bn || ', instrument_a_avg_close=' || {_shown_sql('am')} ||
+         ', instrument_b_avg_close=' || {_shown_sql('bm')} || ', avg_close_diff=' || {_shown_sql('diff')} || '.'
+  FROM asks JOIN compared USING (instrument_id, source_id) WHERE name = 'compare_assets'
+  UNION ALL SELECT {keys}, -2, 'list_instruments', instruments, NULL, found FROM q, lists
+  UNION ALL SELECT {keys}, -1, 'list_sources', sources, NULL, NULL FROM q, lists
+  UNION ALL SELECT {keys}, 5, 'get_trend', '{{"direction":"flat"}}', '{questions.NO_TREND}', NULL FROM q WHERE session_id % 3 = 0
+  UNION ALL SELECT {keys}, 5, 'get_forecast', '{{"method":"mean","predicted_next_close":"7"}}', NULL,
+                   'Forecast summary: method=mean, predicted_next_close=7.' FROM q WHERE session_id % 3 = 1),
+{_reports_sql(keys, "llm_response")},
+tools AS (SELECT {keys}, string_agg(name, ', ' ORDER BY seq) AS tools_invoked FROM runs GROUP BY {keys})
+SELECT {keys}, user_prompt, tools_invoked, llm_response FROM asked JOIN tools USING ({keys}) JOIN reports USING ({keys})"""
+
+
+@query(_answers_sql())
+def answered_questions(spark, folder):
+    """Questions, partly asked before, to log rows: symbols, plan, facts, report."""
+    rows = driver.event_prices(spark, folder)
+    listing = driver.symbol_listing(spark, folder).withColumns({
+        "name": F.col("symbol"), "instrument_class": F.lit("stock"), "region": F.lit("US")})
+    sources = rows.select("source_id").distinct().withColumns({"source_name": F.col("source_id"), "source_type": F.lit("event")})
+    asked = driver.questions(spark, folder)
+    log = answers.answer_questions(asked, listing, sources, rows, ["session_id", "asked_order"], _earlier_runs(asked))
+    return log.select("session_id", "asked_order", "user_prompt", "tools_invoked", six_digits("llm_response"))
+
+
+@query("""SELECT CAST(n_nationkey AS VARCHAR) AS source_id, n_name AS source_name, r_name AS source_type
+FROM nation LEFT JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey = 7""")
+def source_one(spark, folder):
+    """All details of one source by its id."""
+    found = instruments.source_by_id(driver.data_sources(spark, folder), 7)
+    return found.select(F.col("source_id").cast("string").alias("source_id"), "source_name", "source_type")
+
+
+# ---- entity tables ----------------------------------------------------------------------------------
+
+def _kept(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Rows appended to a table in two writes and read back."""
+    root = scratch_path(spark, name)
+    odd = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 1
+    for part in (rows.where(odd), rows.where(~odd)):
+        tables.append(part, root, name)
+    return tables.scan(spark, root, name)
+
+
+@query("""SELECT 'exchanges' AS kind, CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, r_name AS detail
+FROM nation LEFT JOIN region ON r_regionkey = n_regionkey
+UNION ALL SELECT 'owners', CAST(s_suppkey AS VARCHAR), s_name, CASE WHEN s_acctbal < 0 THEN 'closed' ELSE 'firm' END FROM supplier
+UNION ALL SELECT 'users', CAST(c_custkey AS VARCHAR), c_name, CASE WHEN k IS NULL THEN 'viewer' ELSE 'last order ' || CAST(k AS VARCHAR) END
+FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS k FROM orders GROUP BY 1) ON o_custkey = c_custkey
+WHERE c_acctbal >= 0""")
+def entities_written(spark, folder):
+    """Exchanges, owners and users saved by key, changed by key, users in debt deleted, all read back."""
+    root = scratch_path(spark, "entities")
+    read = lambda name: driver.table(spark, folder, name)
+    nation, customer = driver.data_sources(spark, folder), read("customer")
+    tables.upsert(spark, root, "exchanges", nation.select(
+        F.col("source_id").alias("exchange_id"), F.col("source_name").alias("exchange_name"), F.col("source_type").alias("country")))
+    firms = read("supplier").select(F.col("s_suppkey").alias("owner_id"), F.lit("firm").alias("owner_type"), F.col("s_name").alias("name"), "s_acctbal")
+    tables.upsert(spark, root, "owners", firms.withColumn("created_at", F.lit(LOADED)))
+    tables.upsert(spark, root, "owners", firms.where("s_acctbal < 0").withColumns({"owner_type": F.lit("closed"), "created_at": F.lit(LOADED)}))
+    users = customer.select(
+        F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("owner_id"), F.col("c_name").alias("username"),
+        F.lit("viewer").alias("role"), F.lit(LOADED).alias("registered_at"))
+    tables.upsert(spark, root, "users", users)
+    seen = read("orders").join(users, F.col("o_custkey") == F.col("user_id")).select(
+        *users.columns[:3], F.concat(F.lit("last order "), "o_orderkey").alias("role"), "registered_at", "o_orderkey")
+    tables.upsert(spark, root, "users", seen, F.col("o_orderkey"))
+    tables.delete(spark, root, "users", customer.where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("user_id")))
+
+    def shown(name: str, *columns: str) -> DataFrame:
+        names = ("id", "name", "detail")
+        return tables.scan(spark, root, name).select(F.lit(name).alias("kind"), *(F.col(c).alias(n) for c, n in zip(columns, names)))
+
+    return shown("exchanges", "exchange_id", "exchange_name", "country").unionByName(
+        shown("owners", "owner_id", "name", "owner_type")).unionByName(shown("users", "user_id", "username", "role"))
+
+
+#: The newest order of every group; orders of one moment are one row, the first by key.
+def _newest_orders(group: str) -> str:
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR)) AS rn
+  FROM orders) WHERE rn = 1"""
+
+
+@query(f"""SELECT CAST(o_custkey AS VARCHAR) AS portfolio_id, o_orderpriority AS instrument_id, epoch_us(max(o_orderdate)) AS added_at_us
+FROM orders GROUP BY ALL""")
+def portfolio_assets_latest(spark, folder):
+    """The last time each asset was added to each portfolio."""
+    o = driver.table(spark, folder, "orders")
+    rows = o.select(
+        F.col("o_custkey").alias("portfolio_id"), F.col("o_orderpriority").alias("instrument_id"), F.col("o_orderdate").alias("added_at"),
+        F.col("o_orderpriority").alias("symbol"), F.lit("stock").alias("instrument_class"))
+    found = tables.latest(_kept(spark, "portfolio_assets", rows), "portfolio_assets")
+    return found.select("portfolio_id", "instrument_id", micros("added_at"))
+
+
+@query(f"""SELECT CAST(o_custkey AS VARCHAR) AS instrument_id, o_orderstatus AS source_id, CAST(o_orderkey AS VARCHAR) AS result_id,
+       epoch_us(o_orderdate) AS computed_at_us, round(o_totalprice, 2) AS metric_value
+FROM ({_newest_orders("o_custkey, o_orderstatus")})""")
+def analytics_results_latest(spark, folder):
+    """The newest stored metric of every series."""
+    o = driver.table(spark, folder, "orders")
+    rows = o.select(
+        F.col("o_custkey").alias("instrument_id"), F.col("o_orderstatus").alias("source_id"), F.col("o_orderdate").alias("computed_at"),
+        F.col("o_orderkey").alias("result_id"), F.lit("avg_close").alias("metric_type"), F.col("o_totalprice").alias("metric_value"))
+    found = tables.latest(_kept(spark, "analytics_results", rows), "analytics_results")
+    return found.select("instrument_id", "source_id", "result_id", micros("computed_at"), rounded("metric_value", 2))
+
+
+@query(f"""SELECT CAST(o_custkey AS VARCHAR) AS instrument_id, CAST(o_orderkey AS VARCHAR) AS signal_id, epoch_us(o_orderdate) AS generated_at_us,
+       CASE WHEN o_totalprice > 200000 THEN 'high' ELSE 'low' END AS severity FROM ({_newest_orders("o_custkey")})""")
+def risk_signals_latest(spark, folder):
+    """The newest stored risk signal of every instrument."""
+    o = driver.table(spark, folder, "orders")
+    rows = o.select(
+        F.col("o_custkey").alias("instrument_id"), F.col("o_orderdate").alias("generated_at"), F.col("o_orderkey").alias("signal_id"),
+        F.lit("volatility").alias("signal_type"), F.when(F.col("o_totalprice") > 200000, "high").otherwise("low").alias("severity"))
+    found = tables.latest(_kept(spark, "risk_signals", rows), "risk_signals")
+    return found.select("instrument_id", "signal_id", micros("generated_at"), "severity")
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS user_id, epoch_us(max(o_orderdate)) AS created_at_us FROM orders GROUP BY 1""")
+def recommendations_latest(spark, folder):
+    """When every user was last given a recommendation."""
+    o = driver.table(spark, folder, "orders")
+    rows = o.select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("created_at"), F.lit("hold").alias("action"), F.lit(False).alias("was_acted_on"))
+    return tables.latest(_kept(spark, "recommendations", rows), "recommendations").select("user_id", micros("created_at"))
+
+
+@query("""SELECT CAST(conv_id AS VARCHAR) AS session_id, turn, text AS user_prompt, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place
+FROM conversations WHERE role = 'user'""")
+def question_log_history(spark, folder):
+    """The question log written and read back, newest question first in every session."""
+    asked = driver.questions(spark, folder).select(
+        F.lit("u").alias("user_id"), "session_id", F.timestamp_seconds("asked_order").alias("asked_at"),
+        F.concat_ws("-", "session_id", "asked_order").alias("query_id"), "user_prompt")
+    log = tables.history(_kept(spark, "question_log", asked), "question_log", user_id="u")
+    place = F.row_number().over(Window.partitionBy("session_id").orderBy(F.col("asked_at").desc()))
+    return log.select("session_id", F.unix_seconds("asked_at").alias("turn"), "user_prompt", place.alias("place"))
+
+
+_UUID_TEXT = """CASE o_orderkey % 7 WHEN 0 THEN h WHEN 1 THEN upper(h) WHEN 2 THEN '{' || h[1:8] || '-' || h[9:] || '}' WHEN 3 THEN 'urn:uuid:' || h
+  WHEN 4 THEN h[1:31] WHEN 5 THEN 'g' || h[2:] ELSE '' END"""
+
+
+@query(f"""SELECT o_orderkey, regexp_matches(regexp_replace(regexp_replace(t, 'urn:|uuid:', '', 'g'), '^[{{}}]+|[{{}}]+$|-', '', 'g'),
+       '^[0-9a-fA-F]{{32}}$') AS valid
+FROM (SELECT o_orderkey, {_UUID_TEXT} AS t FROM (SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS h FROM orders))""")
+def uuid_check(spark, folder):
+    """Which texts are UUIDs, in all the forms they may have."""
+    o = driver.table(spark, folder, "orders")
+    h, kind = F.md5(F.col("o_orderkey").cast("string").cast("binary")), F.col("o_orderkey") % 7
+    dashed = F.concat(F.lit("{"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 32), F.lit("}"))
+    forms = (h, F.upper(h), dashed, F.concat(F.lit("urn:uuid:"), h), F.substring(h, 1, 31), F.concat(F.lit("g"), F.substring(h, 2, 31)))
+    text = F.lit("")
+    for n, form in enumerate(forms):
+        text = F.when(kind == n, form).otherwise(text)
+    return o.select("o_orderkey", is_uuid(text).alias("valid"))
+
+
+@query(f"""{LINES} SELECT instrument_id, source_id, CAST(record_date AS VARCHAR) AS record_date, system_us AS system_date_us,
+       round(close_price, 4) AS close_price FROM lp WHERE instrument_id = 3""")
+def price_one_instrument_compacted(spark, folder):
+    """Prices of one load for every ship year, compacted, then read by instrument."""
+    root = scratch_path(spark, "compacted")
+    rows = driver.lineitem_prices(spark, folder).withColumn("ingested_at", F.col("system_date"))
+    for name, part in (("early", rows.where("record_year < 1996")), ("late", rows.where("record_year >= 1996"))):
+        tables.append_load(part, root, "prices", name)
+    tables.compact(spark, root, "prices")
+    found = tables.scan_key(spark, root, "prices", 3)
+    return found.select(
+        F.col("instrument_id").cast("bigint").alias("instrument_id"), "source_id", day(), micros("system_date"), rounded("close_price", 4))

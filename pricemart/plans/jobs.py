@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricemart.functions.text import normal_symbol, stable_id
@@ -58,13 +58,11 @@ def rolling_average_job(
     spark: SparkSession, root: str, window_days: int = DEFAULT_WINDOW, part: PriceRange = PriceRange()
 ) -> int:
     """Write rolling averages of the range and return how many rows there are."""
-    shared_dir(spark)
     averages = rolling_average(daily_prices(spark, root, part), window_days, datetime.now(timezone.utc))
-    # computed once: the count and the write both read the checkpoint
-    rows = averages.checkpoint()
-    count = rows.count()
-    tables.upsert(spark, root, "rolling_averages", rows)
-    return count
+    # counted while they are written
+    counted = Observation("rolling averages")
+    tables.upsert(spark, root, "rolling_averages", averages.observe(counted, F.count(F.lit(1)).alias("rows")))
+    return counted.get["rows"]
 
 
 def series_regression_job(

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -6,7 +6,8 @@ from times import utc
 from pyspark.sql import functions as F
 
 from pricemart.schemas import TABLES
-from pricemart.sources import tables
+from pricemart.sources import commits, tables
+from pricemart.sources.commits import Folder
 
 
 @pytest.fixture
@@ -24,7 +25,7 @@ def test_append_prices_by_source_and_year(spark, root, prices, tmp_path):
     tables.append(prices({"close_price": Decimal("1.5")}, {"record_date": date(2023, 5, 5)}), root, "prices")
     tables.append(prices({"source_id": "s2"}), root, "prices")
     assert tables.scan(spark, root, "prices").count() == 3
-    years = {p.name for p in (tmp_path / "prices").glob("load_batch=*/source_id=s1/*")}
+    years = {p.name for p in (tmp_path / "prices").glob("commit=*/source_id=s1/*")}
     assert years == {"record_year=2023", "record_year=2024"}
 
 
@@ -59,14 +60,116 @@ def test_upsert_rewrites_touched_partitions_only(spark, root, tmp_path):
         )
 
     tables.upsert(spark, root, "rolling_averages", averages(7, 1.0))
-    before = sorted((tmp_path / "rolling_averages" / "window_days=7").rglob("*.parquet"))
+    def live(window):
+        _, entries = commits.live(Folder(spark, tables.table_path(root, "rolling_averages")))
+        return [e for e in entries if f"window_days={window}/" in e.path]
+
+    before = live(7)
     tables.upsert(spark, root, "rolling_averages", averages(30, 2.0))
     tables.upsert(spark, root, "rolling_averages", averages(30, 3.0))
-    assert sorted((tmp_path / "rolling_averages" / "window_days=7").rglob("*.parquet")) == before
+    assert live(7) == before and len(before) == 1
     got = {r.window_days: r.close_price for r in tables.scan(spark, root, "rolling_averages").collect()}
     assert got == {7: 1.0, 30: 3.0}
 
 
+OWNER = "owner_id string, owner_type string, name string"
+
+
+def owners(spark, **names):
+    return spark.createDataFrame([(k, "person", v) for k, v in names.items()], OWNER)
+
+
+def shown(frame):
+    return {r.owner_id: r.name for r in frame.collect()}
+
+
+def test_a_write_that_is_cut_off_leaves_the_table_as_it_was(spark, root, monkeypatch):
+    tables.upsert(spark, root, "owners", owners(spark, a="old", b="old"))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    for cut in ("replace", "live"):
+        with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+            patched.setattr(tables.commits, cut, killed)
+            tables.upsert(spark, root, "owners", owners(spark, a="new"))
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "old", "b": "old"}
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(tables.commits, "replace", killed)
+        tables.delete(spark, root, "owners", owners(spark, a="x").select("owner_id"))
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "old", "b": "old"}
+    gone = tables.vacuum(spark, root, "owners", timedelta(0))
+    assert len([n for n in gone if n.startswith("commit=")]) >= 2
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "old", "b": "old"}
+
+
+def test_a_reader_sees_the_table_as_it_was_when_it_began(spark, root):
+    tables.upsert(spark, root, "owners", owners(spark, a="old"))
+    before = tables.scan(spark, root, "owners")
+    tables.upsert(spark, root, "owners", owners(spark, a="new", b="new"))
+    after = tables.scan(spark, root, "owners")
+    tables.delete(spark, root, "owners", owners(spark, a="").select("owner_id"))
+    assert shown(before) == {"a": "old"} and shown(after) == {"a": "new", "b": "new"}
+    assert shown(tables.scan(spark, root, "owners")) == {"b": "new"}
+
+
+def test_of_two_writers_that_meet_none_is_lost(spark, root, monkeypatch):
+    tables.upsert(spark, root, "owners", owners(spark, a="1"))
+    replace, calls = commits.replace, []
+
+    def late(folder, number, entries):
+        if not calls:
+            calls.append(1)
+            tables.upsert(spark, root, "owners", owners(spark, b="other"))
+        return replace(folder, number, entries)
+
+    monkeypatch.setattr(tables.commits, "replace", late)
+    tables.upsert(spark, root, "owners", owners(spark, a="2"))
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "2", "b": "other"}
+
+
+def test_an_incomplete_list_does_not_count(spark, root, monkeypatch):
+    monkeypatch.setattr(commits.time, "sleep", lambda _: None)
+    tables.append(owners(spark, a="1"), root, "owners")
+    folder = Folder(spark, tables.table_path(root, "owners"))
+    assert folder.create("_commits/000000000002.json", '{"path": "commit=no"')
+    assert not folder.create("_commits/000000000002.json", "again")
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "1"}
+    tables.append(owners(spark, b="2"), root, "owners")
+    assert shown(tables.scan(spark, root, "owners")) == {"a": "1", "b": "2"}
+
+
+def test_compaction_keeps_all_rows_and_reads_fewer_files(spark, root, prices):
+    for load in range(6):
+        tables.append_load(
+            prices(*({"instrument_id": f"i{n:02d}", "system_date": utc(2024, 6, 1, load)} for n in range(20))), root, "prices", f"load-{load}"
+        )
+    key = lambda frame: sorted((r.instrument_id, r.system_date, r.load_batch) for r in frame.collect())
+    before = key(tables.scan(spark, root, "prices", with_load=True))
+    one, files = tables.scan_key(spark, root, "prices", "i07"), lambda f: len(f.inputFiles())
+    count, many = one.count(), files(one)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a file for every range
+    try:
+        tables.compact(spark, root, "prices")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert key(tables.scan(spark, root, "prices", with_load=True)) == before
+    one = tables.scan_key(spark, root, "prices", "i07")
+    assert one.count() == count == 6 and files(one) < many
+    assert files(one) < files(tables.scan(spark, root, "prices"))
+
+    # a closed load that is tried again adds nothing; a new one is read beside the compacted rows
+    tables.append_load(prices({"instrument_id": "i07"}), root, "prices", "load-3")
+    tables.append_load(prices({"instrument_id": "i07"}), root, "prices", "load-9")
+    assert tables.scan_key(spark, root, "prices", "i07").count() == 7
+    tables.compact(spark, root, "prices")
+    tables.vacuum(spark, root, "prices", timedelta(0))
+    assert tables.scan(spark, root, "prices").count() == len(before) + 1
+    assert tables.scan_key(spark, root, "prices", "i07").count() == 7
+    with pytest.raises(ValueError):
+        tables.compact(spark, root, "owners")
+
+
 def test_delete_policies(spark, root):
     assets = spark.createDataFrame(
         [("p1", "a", utc(2024, 1, 1), "A", "stock"), ("p1", "a", utc(2024, 2, 1), "A", "stock"), ("p2", "a", utc(2024, 1, 1), "A", "stock")],
