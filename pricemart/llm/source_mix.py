@@ -8,7 +8,7 @@ are the training order.
 
 At scale: no text is moved, only sizes. The running sum over a source, which may hold a third of all rows, is
 taken in two steps: sums of hash buckets of about ``ROWS_PER_BUCKET`` rows, running sums over these, then
-running sums inside each bucket. Windows over sources have a row per source.
+running sums inside each bucket; an id with more rows than that has several buckets. Windows over sources have a row per source.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from .words import WORD
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 ROWS_PER_BUCKET = 20_000
+#: Rows of one id that fill a bucket are cut where their numbers differ above these bits.
+ROW_PART_BITS = 14
 
 #: Weight over training time by place in WEIGHTS: heavy sources first, light ones towards the end.
 SCHEDULES = (
@@ -90,7 +92,7 @@ def _mixture(rows: DataFrame, weights: Sequence[float], schedules: Sequence[Sche
     digits = max(1, math.ceil(math.log(max(2, sized.count() / ROWS_PER_BUCKET), 16)))
     targets = saved(source_targets(sized, weights, most))
     placed = sized.join(targets, sized["source"].eqNullSafe(targets["name"])).drop("source", "name")
-    placed = placed.withColumn("bucket", F.substring("order", 1, digits))
+    placed = _in_buckets(placed, digits)
     sums = placed.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("place", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"))
@@ -113,6 +115,26 @@ def _mixture(rows: DataFrame, weights: Sequence[float], schedules: Sequence[Sche
     )
 
 
+def _in_buckets(placed: DataFrame, digits: int) -> DataFrame:
+    """``placed`` with ``bucket``, in whose order the buckets of a source follow each other.
+
+    A bucket is a prefix of the hash. Where one id has so many rows that it fills a bucket, its rows are buckets of
+    their own, by row, between those of smaller and those of larger hashes.
+    """
+    placed = placed.withColumn("prefix", F.substring("order", 1, digits))
+    crowded = placed.groupBy("place", "prefix").agg(F.count("row").alias("n")).where(F.col("n") > 4 * ROWS_PER_BUCKET)
+    # both have fewer rows than all rows divided by ROWS_PER_BUCKET
+    hot = placed.join(F.broadcast(crowded.drop("n")), ["place", "prefix"], "left_semi").groupBy("place", "prefix", "order")
+    hot = hot.agg(F.count("row").alias("n")).where(F.col("n") > ROWS_PER_BUCKET)
+    hot = hot.groupBy("place", "prefix").agg(F.sort_array(F.collect_list("order")).alias("hot"))
+    placed = placed.join(F.broadcast(hot), ["place", "prefix"], "left")
+    below = F.when(F.col("hot").isNull(), 0).otherwise(F.size(F.filter("hot", lambda h: h < F.col("order"))))
+    own = F.coalesce(F.array_contains("hot", F.col("order")), F.lit(False))
+    part = F.when(own, F.shiftright("row", ROW_PART_BITS)).otherwise(F.lit(0).cast("long"))
+    bucket = F.struct("prefix", below.alias("below"), own.alias("own"), part.alias("part"))
+    return placed.withColumn("bucket", bucket).drop("prefix", "hot")
+
+
 def _time(demand: str, weights: int, schedules: Sequence[Schedule]) -> str:
     cases = (f"WHEN {k} THEN {time_of(demand, schedules[k % len(schedules)])}" for k in range(weights))
     return f"CASE (place - 1) % {weights} {' '.join(cases)} END"
