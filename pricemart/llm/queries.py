@@ -183,14 +183,14 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = chats.select(
         "conv_id", "n_turns", F.char_length("formatted").cast("long").alias("formatted_chars"),
         chat_format.read_turns(F.col("formatted")).alias("turns"),
-        chat_format.read_loss(F.col("segments")).alias("loss"),
+        chat_format.read_loss(F.col("segments")).alias("loss"), "valid", "first_bad_turn",
     )
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        "formatted_chars",
+        "formatted_chars", "valid", "first_bad_turn",
     )
 
 
@@ -198,15 +198,21 @@ SQL["op3_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+placed AS (
+  SELECT *, (row_number() OVER w - 1)::INT AS place, lag(role) OVER w AS before FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 measured AS (
-  SELECT *, length(regexp_replace(text, '[\[<\\]', '12', 'g')) AS escaped,
+  SELECT *, CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+                 ELSE before = 'user' AND role = 'assistant' END AS allowed,
+         length(regexp_replace(text, '[\[<\\]', '12', 'g')) AS escaped,
          CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 16 WHEN 'assistant' THEN 10
-                   ELSE 20 + length(regexp_replace(role, '[\[<\\]', '12', 'g')) END AS marks FROM turns)
+                   ELSE 20 + length(regexp_replace(role, '[\[<\\]', '12', 'g')) END AS marks FROM placed)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       (3 + sum(escaped + marks))::BIGINT AS formatted_chars
+       (3 + sum(escaped + marks))::BIGINT AS formatted_chars,
+       bool_and(allowed) AS valid, min(place) FILTER (WHERE NOT allowed) AS first_bad_turn
 FROM measured GROUP BY conv_id
 """
 
