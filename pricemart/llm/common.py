@@ -15,6 +15,8 @@ from ..session import scratch_path, shared_dir
 
 #: Names of files that are broadcast together at most, in characters.
 FILE_NAMES_BYTES = 64_000_000
+#: Edges that fill a task.
+ROWS_A_TASK = 100_000
 #: Rows of a file are numbered below two to this.
 ROW_BITS = 40
 
@@ -124,25 +126,37 @@ def _run_end(keys: pa.Array, lo: int, key) -> int:
     return lo + 1
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have shuffles and checkpoints of frames that are gone deleted now: Spark does it when the driver collects garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a long, b long); the label is the smallest node it reaches.
 
     Alternates two kinds of steps until nothing changes: every node points its larger neighbours to its
     smallest neighbour, then its smaller ones. Minima are combined map-side and joined back, so a node with
-    any number of neighbours is never gathered in one place; the number of rounds is logarithmic.
+    any number of neighbours is never gathered in one place; the number of rounds is logarithmic. Edges are kept in
+    as many partitions as they fill.
     """
+    spark = links.sparkSession
     edges = saved(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     state = _state(edges)
     while True:
+        filled = max(1, min(tasks(spark), -(-state[0] // ROWS_A_TASK)))
+        edges = edges.coalesce(filled)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = large.coalesce(filled)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = saved(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = saved(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(filled))
         after = _state(edges)
+        del both, least, large, small
+        tidy(spark)
         if after == state:
             break
         state = after

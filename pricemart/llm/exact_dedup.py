@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, row_number, saved
+from .common import numbered, row_number, saved, tidy
 
 BLOCK_CHARS = 4096
 SPACES = r"[\x20\x09-\x0D]"
@@ -51,6 +51,7 @@ def _groups(docs: DataFrame, block_chars: int) -> DataFrame:
     names = first.select("row", "pos", "name")
     for _ in range(math.ceil(math.log2(max(1, math.ceil(longest / block_chars))))):
         names = saved(_named_pairs(names))
+        tidy(docs.sparkSession)
     named = first.where("pos = 0").drop("name", "pos").join(names.select("row", "name"), "row")
 
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("z"), "doc_id", "row"))

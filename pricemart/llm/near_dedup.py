@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, numbered, one_batch, runs, saved, stored, tasks
+from .common import components, numbered, one_batch, runs, saved, stored, tasks, tidy
 from .sketches import BINS, band_width, least_agreement, set_digests, shingle_sets, sketch, sketch_bytes
 from .words import Words, slices
 
@@ -65,6 +65,7 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
 
     measure = (shingle_words, percent, least_agreement(percent / 100))
     links = saved(_compared(_star_units(stars), texts, measure))
+    tidy(docs.sparkSession)
     classes = saved(components(links))
     labelled = families.select("node", "share", F.col("label").alias("family")).join(classes, "node", "left")
     labelled = saved(labelled.select("node", "share", "family", F.coalesce("label", "node").alias("label")))

@@ -5,9 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pricemart.llm import exact_dedup, near_dedup
+from pricemart.llm.common import components, numbered, one_batch
 from pricemart.llm.exact_dedup import exact_groups, keep_first
 from pricemart.llm.line_dedup import Bloom, line_dedup, repeated_lines
 from pricemart.llm.near_dedup import keep_one_of_each, near_groups
@@ -230,3 +233,48 @@ def test_near_groups_of_files_that_are_packed_anew(many_files, repacked):
 def test_near_copies_of_files_that_are_packed_anew(many_files, repacked):
     repacked(near_dedup)
     assert sorted(r["doc_id"] for r in keep_one_of_each(many_files).collect()) == [n for n in range(60) if n % 3 < 2]
+
+
+# what holds at any size --------------------------------------------------------------------------------------
+
+
+def test_components_of_numbers_of_late_partitions(spark):
+    """Row numbers of partition twenty thousand and more, whose plain sum no long can hold."""
+    base = 20_000 << 33
+    chain = spark.range(2000).selectExpr(f"{base} + id AS a", f"{base} + id + 1 AS b").where(f"(a - {base}) % 100 < 99")
+    hub = spark.range(150_000).selectExpr(f"{2 * base} + id AS a", f"{2 * base} AS b")
+    rows = components(chain.unionByName(hub).repartition(4))
+    got = rows.groupBy("label").count().collect()
+    assert sorted(r["count"] for r in got) == [100] * 20 + [150_000]
+    assert all(r["label"] in (2 * base, base + (r["label"] - base) // 100 * 100) for r in got)
+
+
+def test_batches_that_become_one():
+    batches = [pa.RecordBatch.from_pydict({"n": [k], "text": ["ab" * k], "list": [[k, k]], "sketch": [b"x"]}) for k in range(3)]
+    one = one_batch(batches)
+    assert one.num_rows == 3 and one.column("text").to_pylist() == ["", "ab", "abab"]
+    assert pa.types.is_large_string(one.column("text").type) and one.column("list").to_pylist() == [[0, 0], [1, 1], [2, 2]]
+
+
+def test_near_groups_of_large_texts_in_small_blocks(documents, monkeypatch):
+    """Blocks end where their shingles are too many, so two large texts never meet with others in one."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 150)
+    base = words_of(120, 9)
+    texts = [" ".join(edited(base, {k})) for k in range(0, 120, 5)] + [" ".join(words_of(120, 50 + k)) for k in range(6)]
+    docs = documents(*texts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_groups(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_near(texts, 5, 80)
+
+
+def test_rows_of_files_keep_their_numbers(many_files, spark):
+    rows = numbered(many_files, "numbered")
+    first = {r["doc_id"]: r["row"] for r in rows.select("row", "whole.doc_id").collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        again = {r["doc_id"]: r["row"] for r in numbered(many_files, "numbered").select("row", "whole.doc_id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == again and len(set(first.values())) == 60
+    # a frame that is no scan of files is written with its numbers
+    made = numbered(many_files.unionByName(many_files), "numbered", twice=F.col("doc_id") * 2)
+    assert made.columns == ["row", "whole", "twice"] and made.select("row").distinct().count() == 120

@@ -85,6 +85,21 @@ def test_training_order_and_whole_documents(documents):
     assert source_mix.mixed(docs.where("false")).count() == 0
 
 
+def test_half_of_the_rows_have_one_id(documents, monkeypatch):
+    """Rows of one id fill many buckets; the running sums are those of one window over the source."""
+    rows = [{"doc_id": 7 if n % 2 else n, "text": "w " * (1 + n % 5), "source": f"s{n % 3 % 2}"} for n in range(400)]
+    rows += [{"doc_id": None, "text": "a b", "source": "s0"}] * 90
+    docs = documents(*rows)
+    plain = [(r["doc_id"], r["size"], r["target"], r["taken"], r["draws"]) for r in source_mix.mixture(docs).collect()]
+    monkeypatch.setattr(source_mix, "ROWS_PER_BUCKET", 4)
+    monkeypatch.setattr(source_mix, "ROW_PART_BITS", 3)
+    cut = source_mix.mixture(docs).collect()
+    assert sorted(map(str, plain)) == sorted(str((r["doc_id"], r["size"], r["target"], r["taken"], r["draws"])) for r in cut)
+    # as many words are taken as the targets say
+    targets = {r["source_size"]: r["target"] for r in cut}
+    assert abs(sum(r["taken"] for r in cut) - sum(targets.values())) < len(targets)
+
+
 def test_draws_of_files_that_are_packed_anew(many_files, repacked):
     draws = source_mix.mixture(many_files).selectExpr("doc_id", "size(filter(draws, d -> 2 * d.words >= size)) AS n")
     expected = {r["doc_id"]: r["n"] for r in draws.where("n > 0").collect()}
@@ -102,16 +117,17 @@ def test_top_k_against_brute_force(spark, tmp_path, monkeypatch, shard_rows, blo
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)]
     rows += [(300 + i, rows[100][1]) for i in range(20)]
     rows += [(400, None), (401, [1.0, None]), (402, [float("nan")] * 8), (403, [float("inf")] * 8), (404, []), (405, [0.5, 0.5]),
-             (None, rows[5][1]), (100, rows[100][1]), (406, [1e30] * 8)]
+             (None, rows[5][1]), (100, rows[100][1]), (406, [2e5, -1.0]), (500, [200000.0, 1.0, 3e5]), (407, [-1e6, 0.1, 7e5, 0.3])]
     path = str(tmp_path / "vectors")
     spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS score", "2 AS row", "3 AS parts").write.parquet(path)
     got = topk_search.top_k(spark.read.parquet(path), F.col("vec_id") % 100 == 0, shard_rows=shard_rows).collect()
 
     valid = [(v, [math.floor(1024 * x) for x in e]) for v, e in rows
-             if e is not None and all(x is not None and math.isfinite(x) and abs(1024 * x) < 2**27 for x in e)]
+             if e is not None and all(x is not None and math.isfinite(x) for x in e)]
     want = []
     for n, (q, a) in enumerate(valid):
         if q is not None and q % 100 == 0:
+            # vectors are compared as if the shorter ended in zeros
             scores = [(-sum(x * y for x, y in zip(a, b)), v is None, v or 0) for m, (v, b) in enumerate(valid) if m != n]
             want += [(q, r + 1, None if s[1] else s[2], -s[0]) for r, s in enumerate(sorted(scores)[:10])]
     key = lambda r: (r[0], r[1], str(r[2]), r[3])
@@ -124,6 +140,16 @@ def test_top_k_of_few_and_none(spark):
     assert topk_search.top_k(few.where("false"), F.lit(True)).count() == 0
 
 
+def test_scores_that_fit_no_long(spark):
+    rows = [(0, [1e12, 1.0]), (1, [1e12, 2.0]), (2, [-1e12, 3.0]), (3, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk_search.top_k(frame, F.col("vec_id") == 0, k=3).collect()
+    # beyond the k best they do no harm: -2 ** 100 and less is last
+    frame = frame.where("vec_id <> 1")
+    assert [r["vec_id"] for r in topk_search.top_k(frame, F.col("vec_id") == 0, k=1).collect()] == [3]
+
+
 def test_max_score_skips_terms():
     rng = np.random.default_rng(1)
     columns, query = rng.integers(-300, 300, (64, 500)), rng.integers(-300, 300, 64)
