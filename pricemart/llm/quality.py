@@ -24,12 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import numbered, tasks
-from .words import SLICE_BYTES, mix, segment_hashes, slices
+from .words import mix, segment_hashes, slices
 
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
 VOCABULARY, DIMENSIONS, NONZERO, REACH = 8192, 64, 4, 2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 300, 0.01, 1e-3
 
+#: Bytes of text that are scored at a time.
+SCORE_BYTES = 125_000
+
 #: Documents of the sample that are turned into words and vectors at a time.
 _FIT_DOCS = 128
 
@@ -255,7 +258,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_column: str
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
             batch = pa.RecordBatch.from_arrays([part], ["text"])
-            found = [model.score(model.pooled(data, bounds)) for _, data, bounds in slices(batch, size=SLICE_BYTES // 4)]
+            found = [model.score(model.pooled(data, bounds)) for _, data, bounds in slices(batch, size=SCORE_BYTES)]
             yield pa.array(np.concatenate([np.zeros(0), *found]))
 
     # only the texts go to Python and only the scores come back
@@ -266,7 +269,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_column: str
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, bounds in slices(batch, size=SLICE_BYTES // 4):
+        for part, data, bounds in slices(batch, size=SCORE_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(model.score(model.pooled(data, bounds)))], ["doc_id", "score"]
             )
