@@ -13,7 +13,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,32 +136,23 @@ def ordered_scan(
 
 def _in_pieces(df: DataFrame, series: SeriesOrder, max_rows: int) -> DataFrame:
     """``df`` with ``_piece``: the series, and the place of the piece in it, null for series that are one piece."""
-    keys = list(series.keys)
-    rows = df.withColumn("_bucket", series.bucket)
-    sizes = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    crowded = F.when(F.col("_n") > max_rows, F.col("_bucket"))
+    # a struct of the keys is never null, so series without a key meet in plain joins
+    rows = df.select("*", F.struct(*series.keys).alias("_series"), series.bucket.alias("_bucket"))
+    sizes = rows.groupBy("_series", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = F.collect_list(F.when(F.col("_n") > max_rows, F.col("_bucket"))).alias("_crowded")
     # fewer than all rows divided by max_rows, both the series and what they list
-    long = sizes.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.collect_list(crowded).alias("_crowded"))
-    rows = _left_join(rows, F.broadcast(long.where(F.col("_all") > max_rows).drop("_all")), keys)
-    rows = rows.withColumn("_part", F.when(F.array_contains("_crowded", F.col("_bucket")), series.part))
-
-    group = [*keys, "_bucket", "_part"]
-    parts = rows.where("_part IS NOT NULL").groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    parts = parts.where(F.col("_n") > max_rows).select(*group, F.lit(True).alias("_full"))
-    rows = _left_join(rows, F.broadcast(parts), group)
+    long = sizes.groupBy("_series").agg(F.sum("_n").alias("_n"), crowded).where(F.col("_n") > max_rows)
+    rows = rows.join(F.broadcast(long.select("_series", "_crowded")), "_series", "left")
+    part = F.when(F.array_contains("_crowded", F.col("_bucket")), series.part).alias("_part")
+
+    group = ["_series", "_bucket", "_part"]
+    rows = rows.select("*", part)
+    parts = rows.where("_part IS NOT NULL").groupBy(*group).agg(F.count(F.lit(1)).alias("_full")).where(F.col("_full") > max_rows)
     share = F.pmod(F.xxhash64(*_hashable(df)), F.lit(EQUAL_PLACES))
-    full = F.struct(F.struct(*series.place).alias("place"), share.alias("share"))
-    at = F.struct("_bucket", "_part", F.when(F.col("_full"), full).alias("_within"))
-    at = F.when(F.col("_crowded").isNotNull(), at)
-    piece = F.struct(F.struct(*keys).alias("series"), at.alias("at")).alias("_piece")
-    return rows.select(*(F.col(f"`{c}`") for c in df.columns), piece)
-
-
-def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A left join in which null keys meet null keys."""
-    side = side.select(*(F.col(f"`{c}`").alias(f"_side_{c}" if c in keys else c) for c in side.columns))
-    same = reduce(lambda a, b: a & b, (df[k].eqNullSafe(side[f"_side_{k}"]) for k in keys))
-    return df.join(side, same, "left").drop(*(f"_side_{k}" for k in keys))
+    within = F.when(F.col("_full").isNotNull(), F.struct(F.struct(*series.place).alias("place"), share.alias("share")))
+    at = F.when(F.col("_crowded").isNotNull(), F.struct("_bucket", "_part", within.alias("within")))
+    piece = F.struct(F.col("_series").alias("series"), at.alias("at")).alias("_piece")
+    return rows.join(F.broadcast(parts), group, "left").select(*(F.col(f"`{c}`") for c in df.columns), piece)
 
 
 def _in_window(spec: tuple[str, str], window) -> Column:

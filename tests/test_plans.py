@@ -10,7 +10,9 @@ FOLDER = "/root/testdata/sf0.001"
 # these write and read tables while they are built
 RUNS_WHEN_BUILT = {
     "stream_feed_load", "stream_job_state", "batch_feed_load", "table_upsert_and_delete", "load_log", "job_outcomes",
-    "load_leaves_jobs_and_sources", "rolling_job_table",
+    "load_leaves_jobs_and_sources", "rolling_job_table", "answered_questions", "entities_written", "portfolio_assets_latest",
+    "analytics_results_latest", "risk_signals_latest", "recommendations_latest", "question_log_history",
+    "price_one_instrument_compacted",
 }
 
 
@@ -33,15 +35,27 @@ def test_no_cross_joins(spark, capsys, name):
 
 
 @pytest.mark.parametrize("name, shuffles", [
-    ("latest_daily_prices", 1), ("aggregates_all", 1), ("trend", 1), ("forecast_last_close", 1), ("returns", 1),
-    ("risk_signal", 1), ("metrics_report", 1), ("insufficient_flags", 1), ("fact_sheets", 1),
+    ("latest_daily_prices", 1), ("aggregates_all", 1), ("trend", 1), ("forecast_last_close", 1),
     ("rolling_avg_7", 2), ("rolling_avg_several", 2), ("features", 2), ("risk_signal_latest", 2), ("regression_statistics", 2),
-    ("price_asof_requests", 2), ("instrument_as_of", 1), ("job_latest_state", 1), ("feed_casts", 0), ("symbol_mentions", 4),
+    ("job_latest_state", 1), ("feed_casts", 0), ("symbol_mentions", 0),
 ])
 def test_number_of_shuffles(spark, capsys, name, shuffles):
     assert count(plan_of(spark, capsys, name), "Exchange") == shuffles
 
 
+@pytest.mark.parametrize("name, shuffles, windows", [
+    ("returns", 1, 1), ("risk_signal", 2, 1), ("metrics_report", 2, 1), ("instrument_history", 2, 2), ("instrument_as_of", 1, 1),
+    ("price_asof_requests", 2, 1),
+])
+def test_shuffles_left_where_no_series_is_long(spark, name, shuffles, windows):
+    """Once the count finds no long series, what is about pieces and their summaries is gone from the plan."""
+    frame = QUERIES[name](spark, FOLDER)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" not in plan
+    assert (plan.count("- Exchange hashpartitioning"), plan.count("Window [")) == (shuffles, windows)
+
+
 def test_versions_are_merged_before_the_shuffle(spark, capsys):
     plan = plan_of(spark, capsys, "latest_daily_prices")
     assert "partial_max_by" in plan and "SortAggregate" not in plan
