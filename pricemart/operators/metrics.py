@@ -7,6 +7,7 @@ newest version that has a close.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +38,7 @@ def _by_day_only(points: DataFrame) -> bool:
     return "system_date" not in points.columns
 
 
-def _rank(points: DataFrame) -> Column:
+def price_rank(points: DataFrame) -> Column:
     """The place of a row in its series as one fixed-width number, which hash aggregation can hold."""
     days = F.unix_date(F.col("record_date"))
     if _by_day_only(points):
@@ -47,12 +48,12 @@ def _rank(points: DataFrame) -> Column:
     )
 
 
-def price_order(points: DataFrame) -> SeriesOrder:
+def price_order(points: DataFrame, keys: Sequence[str] = SERIES) -> SeriesOrder:
     """Rows of a series by date ascending and, inside a date, newest version first."""
     days = F.unix_date(F.col("record_date")).cast("long")
     if _by_day_only(points):
-        return by_day(SERIES, days)
-    return by_day(SERIES, days, -F.unix_micros(F.col("system_date").cast("timestamp")))
+        return by_day(keys, days)
+    return by_day(keys, days, -F.unix_micros(F.col("system_date").cast("timestamp")))
 
 
 def _aggregate_columns() -> list[Column]:
@@ -83,7 +84,7 @@ def _with_requested(found: DataFrame, requested: DataFrame | None, *zero: str) -
 
 
 def _first_and_last(points: DataFrame) -> list[Column]:
-    place = F.when(F.col("close_price").isNotNull(), _rank(points))
+    place = F.when(F.col("close_price").isNotNull(), price_rank(points))
     return [
         F.min_by("close_price", place).alias("_first"),
         F.max_by("close_price", place).alias("_last"),
@@ -117,21 +118,24 @@ def trend(prices: DataFrame, versions: str = "all", requested: DataFrame | None
 def forecast(prices: DataFrame, versions: str = "all", requested: DataFrame | None = None) -> DataFrame:
     """The last close, taken as the next one; none for ``requested`` series without any row."""
     points = points_of(prices, versions)
-    place = F.when(F.col("close_price").isNotNull(), _rank(points))
+    place = F.when(F.col("close_price").isNotNull(), price_rank(points))
     last = points.groupBy(*SERIES).agg(F.max_by("close_price", place).alias("predicted_next_close"))
     return _with_requested(last, requested).select(
         *SERIES, F.lit(FORECAST_METHOD).alias("method"), "predicted_next_close"
     )
 
 
-def price_steps(points: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Every row with the close before it, the peak so far, the return and the drawdown in percent."""
+def price_steps(points: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, keys: Sequence[str] = SERIES) -> DataFrame:
+    """Every row with the close before it, the peak so far, the return and the drawdown in percent.
+
+    ``keys`` may add columns to those of a series; then each part of it begins anew.
+    """
     doubles = points.withColumn("_close", F.col("close_price").cast("double"))
     columns = {"previous_close": previous("_close"), "peak_close": running_max("_close")}
     if _by_day_only(points):
         # one row per date: a series is no longer than its calendar, no need to look at its size
         max_rows = None
-    scanned = ordered_scan(doubles, price_order(points), columns, max_rows)
+    scanned = ordered_scan(doubles, price_order(points, keys), columns, max_rows)
     close, before, peak = F.col("_close"), F.col("previous_close"), F.col("peak_close")
     return scanned.withColumns({
         "return_pct": F.when(before != 0, (close - before) / before * 100),
@@ -240,7 +244,12 @@ def metrics_report(
     steps = price_steps(points, max_rows)
     _, *risk_inputs = _risk_inputs()
     totals = steps.groupBy(*SERIES).agg(*_aggregate_columns(), *_first_and_last(points), *risk_inputs)
-    return _with_requested(totals, requested, "count", "total_volume").select(
+    return report_of(_with_requested(totals, requested, "count", "total_volume"), start, end)
+
+
+def report_of(totals: DataFrame, start: date, end: date) -> DataFrame:
+    """The columns of a report from totals: aggregates, _first, _last, _closes, _volatility and _drawdown of every series."""
+    return totals.select(
         *SERIES,
         F.lit(start).alias("start_date"), F.lit(end).alias("end_date"),
         "count", "min_close", "max_close", "avg_close", "total_volume",

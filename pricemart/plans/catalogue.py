@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricemart.functions.text import is_uuid, normal_symbol, stable_id
 from pricemart.operators import answers, audit, ingest, instruments, metrics, prices, questions, regression, rolling
+from pricemart.operators import summaries as stored_summaries
 from pricemart.plans.jobs import load_records, rolling_average_job
 from pricemart.session import configure, scratch_path, shared_dir
 from pricemart.sources import driver_tables as driver
@@ -1636,3 +1637,27 @@ def price_one_instrument_compacted(spark, folder):
     found = tables.scan_key(spark, root, "prices", 3)
     return found.select(
         F.col("instrument_id").cast("bigint").alias("instrument_id"), "source_id", day(), micros("system_date"), rounded("close_price", 4))
+
+
+# ---- stored summaries -------------------------------------------------------------------------------
+
+_REPORT_COLUMNS = """
+SELECT instrument_id, source_id, n AS count, round(mean, 4) AS avg_close, volume AS total_volume, direction,
+       round(CASE WHEN closes >= 2 THEN e - s END, 4) AS change, round(e, 4) AS predicted_next_close, signal,
+       round(CASE WHEN closes >= 2 THEN v END, 4) AS volatility_pct, round(CASE WHEN closes >= 2 THEN d END, 4) AS max_drawdown_pct
+FROM r"""
+LINES_REPORT = LINES + EVENTS_REPORT[len(EVENTS):].replace("FROM ep ", "FROM lp ").replace("2024-01-03", "1993-03-10").replace(
+    "2024-01-28", "1997-10-20")
+
+
+@query(LINES_REPORT + _REPORT_COLUMNS)
+def metrics_report_from_summaries(spark, folder):
+    """A range of five years: three from stored summaries of whole years, raw rows only of the two that it cuts."""
+    rows = driver.lineitem_prices(spark, folder)
+    root = scratch_path(spark, "summaries")
+    tables.upsert(spark, root, "price_summaries", stored_summaries.year_summaries(rows))
+    stored = tables.scan(spark, root, "price_summaries").withColumn("instrument_id", F.col("instrument_id").cast("bigint"))
+    stored = stored.select(*(F.col(f).cast("double").alias(f) if f.endswith("_close") else F.col(f) for f in stored.columns))
+    report = stored_summaries.report_from_summaries(stored, rows, date(1993, 3, 10), date(1997, 10, 20))
+    numbers = ("change", "predicted_next_close", "volatility_pct", "max_drawdown_pct", "avg_close")
+    return report.select(*IDS, "count", "total_volume", "direction", "signal", *(rounded(c, 4) for c in numbers))

@@ -99,6 +99,19 @@ _SPECS = [
         group=("instrument_id", "source_id", "record_date"),
         newest_by=("system_date",), partition_by=("source_id", "record_year"), delete="marker", by_load=True,
     ),
+    TableSpec(
+        "price_summaries",
+        _struct(
+            {"instrument_id": TEXT, "source_id": TEXT, "record_year": T.IntegerType()},
+            {
+                "row_count": T.LongType(), "close_count": T.LongType(), "min_close": PRICE, "max_close": PRICE, "sum_close": PRICE,
+                "total_volume": T.LongType(), "first_close": PRICE, "last_close": PRICE, "return_sum": T.DoubleType(),
+                "return_count": T.LongType(), "fall": T.DoubleType(),
+            },
+        ),
+        key=("instrument_id", "source_id", "record_year"), group=("instrument_id", "source_id"),
+        newest_by=("record_year",), partition_by=("record_year",), delete="keep",
+    ),
     TableSpec(
         "rolling_averages",
         _struct(
