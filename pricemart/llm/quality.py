@@ -35,6 +35,8 @@ SCORE_BYTES = 125_000
 
 #: Documents of the sample that are turned into words and vectors at a time.
 _FIT_DOCS = 128
+#: Pairs of neighbouring words whose vectors are added up at a time.
+_FIT_PAIRS = 65_536
 
 _SPACE, _LETTER, _DIGIT, _SIGN = 0, 1, 2, 3
 _KIND = np.full(256, _SIGN, np.uint8)
@@ -203,7 +205,9 @@ def _word_vectors(names: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndar
         left, right = at[:-step][same], at[step:][same]
         for word, context in ((left, right), (right, left)):
             pairs, count = np.unique(word * len(names) + context, return_counts=True)
-            np.add.at(around, pairs // len(names), index[pairs % len(names)] * count[:, None].astype(np.float32))
+            for lo in range(0, len(pairs), _FIT_PAIRS):
+                part, times = pairs[lo : lo + _FIT_PAIRS], count[lo : lo + _FIT_PAIRS, None].astype(np.float32)
+                np.add.at(around, part // len(names), index[part % len(names)] * times)
             np.add.at(seen, pairs // len(names), count)
     vectors = index + around / np.maximum(seen, 1)[:, None].astype(np.float32)
     return np.concatenate([vectors, np.zeros((1, DIMENSIONS), np.float32)])
