@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricemart.functions.rows import once_per_row
 from pricemart.functions.series import newest
 from pricemart.functions.text import stable_id
 from pricemart.schemas import PRICE
@@ -52,12 +53,16 @@ def _plain(text: Column) -> Column:
 
 def to_decimal(text: Column) -> Column:
     """Decimal from any finite number text, exponents included; otherwise null."""
-    return _plain(text).try_cast(PRICE)
+    # the cast leaves out blanks by itself, and reads no text with an underscore
+    return F.coalesce(text.try_cast(PRICE), F.when(text.contains("_"), _plain(text).try_cast(PRICE)))
 
 
 def to_integer(text: Column) -> Column:
     """Integer from number text by way of a double, cut towards zero; otherwise null."""
-    return to_decimal(text).cast("double").try_cast("bigint")
+    number = to_decimal(text)
+    # a double of few digits is the same by either way, and read much faster from text
+    short = F.when(F.length(text) <= 15, text.try_cast("double"))
+    return F.when(number.isNotNull(), F.coalesce(short, number.cast("double")).try_cast("bigint"))
 
 
 def to_date(text: Column) -> Column:
@@ -126,12 +131,6 @@ def _reject_reason() -> Column:
     return F.concat(F.lit("Row transform error: "), reason)
 
 
-def _once_per_row(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``df`` with more columns, which no later filter or projection computes a second time."""
-    made = F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
-    return df.select(*(F.col(f"`{c}`") for c in df.columns if c not in columns), made)
-
-
 def transform_records(records: DataFrame, load_time: datetime | Column) -> DataFrame:
     """Typed price columns for every record, and ``reject_reason`` for those that cannot be stored.
 
@@ -139,15 +138,19 @@ def transform_records(records: DataFrame, load_time: datetime | Column) -> DataF
     """
     stamp = (load_time if isinstance(load_time, Column) else F.lit(load_time)).cast("timestamp")
     record = F.col("record")
-    typed = _once_per_row(records, {
+    made = {
         "record_date": to_date(record["date"]),
         **{column: to_decimal(record[name]) for name, column in DECIMAL_FIELDS.items()},
         "volume": to_integer(record["volume"]),
         "extra_indicators": extra_indicators(record),
         "system_date": stamp,
         "ingested_at": stamp,
-    })
-    return typed.withColumns({"record_year": F.year("record_date"), "reject_reason": _reject_reason()})
+    }
+    kept = [F.col(f"`{c}`") for c in records.columns if c not in made]
+    typed = records.select(*kept, *(c.alias(name) for name, c in made.items()))
+    checked = typed.withColumns({"record_year": F.year("record_date"), "reject_reason": _reject_reason()})
+    # a projection generates code for all but its lambdas, so the work is done there, and only kept from being done again here
+    return once_per_row(checked, {"reject_reason": F.col("reject_reason")})
 
 
 def accepted(transformed: DataFrame) -> DataFrame:

@@ -6,9 +6,13 @@ the scan stage of whatever reads it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricemart.functions.rows import once_per_row
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -180,12 +184,15 @@ def symbol_listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def feed_documents(spark: SparkSession, folder: str) -> DataFrame:
+def feed_documents(
+    spark: SparkSession, folder: str, deal: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Feed pages as JSON text, one for each row of ``lineitem``.
 
     The close column comes twice, first as zero. Returned lines have their date without dashes, lines
     without discount a null in the column that the feed map does not know, and every seventh line of an
-    order a second data row that stops after the ticker.
+    order a second data row that stops after the ticker. ``deal`` may move and sort the rows by source_id and page
+    before their texts are made.
     """
     li = table(spark, folder, "lineitem")
     names = ("ticker", "date", "close", "volume", "flag", "close")
@@ -205,4 +212,7 @@ def feed_documents(spark: SparkSession, folder: str) -> DataFrame:
         short, F.lit(']},"meta":{"next_cursor_id":null}}'),
     )
     page = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
-    return li.select(F.col("l_linestatus").alias("source_id"), page.alias("page"), document.alias("document"))
+    pages = li.select("*", F.col("l_linestatus").alias("source_id"), page.alias("page"))
+    pages = deal(pages) if deal else pages
+    # a parser would have the text put together without generated code
+    return once_per_row(pages, {"document": document}).select("source_id", "page", "document")

@@ -64,15 +64,16 @@ def page_records(pages: DataFrame) -> DataFrame:
         # within a part of a file, lines are numbered as they come
         pages = pages.withColumn("landed", F.struct("landed.*", F.monotonically_increasing_id().alias("line")))
     kept = [c for c in pages.columns if c not in ("datatable", "meta", BROKEN)]
-    rows = pages.select(
-        *kept,
-        F.transform("datatable.columns", lambda c: F.coalesce(c["name"], F.lit(""))).alias("_names"),
-        F.posexplode("datatable.data").alias("position", "_values"),
-    )
+    # names are made ready once per page, not with each of its rows
+    names = F.transform("datatable.columns", lambda c: F.coalesce(c["name"], F.lit("")))
+    tables = pages.select(*kept, names.alias("_names"), F.col("datatable.data").alias("_data"))
+    # outer, as Spark would otherwise look for empty tables first, by parsing every page once more
+    rows = tables.select(*kept, "_names", F.posexplode_outer("_data").alias("position", "_values")).where("position IS NOT NULL")
     return rows.select(*kept, "position", _zip(F.col("_names"), F.col("_values")).alias("record"))
 
 
 def _zip(names: Column, values: Column) -> Column:
     names = F.coalesce(names, F.array().cast("array<string>"))
     pairs = F.least(F.size(names), F.size(values))
-    return F.map_from_arrays(F.slice(names, F.lit(1), pairs), F.slice(values, F.lit(1), pairs))
+    cut = F.map_from_arrays(F.slice(names, F.lit(1), pairs), F.slice(values, F.lit(1), pairs))
+    return F.when(F.size(names) == F.size(values), F.map_from_arrays(names, values)).otherwise(cut)
