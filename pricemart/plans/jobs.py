@@ -29,8 +29,9 @@ from pricemart.operators.regression import (
     train_series,
 )
 from pricemart.operators.rolling import DEFAULT_WINDOW, rolling_average
-from pricemart.session import shared_dir
+from pricemart.session import scratch_path, shared_dir
 from pricemart.sources import tables
+from pricemart.sources.commits import Folder
 
 
 @dataclass(frozen=True)
@@ -149,15 +150,18 @@ def load_records(
     known yet is saved with the columns that were seen. Every output is keyed by ``load_batch``: loading the
     same batch again replaces what it wrote.
     """
-    transformed = ingest.transform_records(records, load_time)
-    transformed.persist()
+    # kept as a compressed table: every later step reads only its own columns, in parts that do not grow with those of the feed
+    kept = scratch_path(spark, "transformed")
+    ingest.transform_records(records, load_time).write.parquet(kept)
+    transformed = spark.read.parquet(kept)
     try:
         tables.append_load(ingest.last_of_load(ingest.accepted(transformed)), root, "prices", load_batch)
         errors = ingest.load_errors(transformed).withColumn("load_batch", F.lit(load_batch))
         errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch").parquet(tables.table_path(root, "load_errors"))
         took = int((datetime.now(timezone.utc) - load_time).total_seconds() * 1000)
         if failures is not None:
-            failures = failures.withColumn("ingested_at", F.lit(load_time).cast("timestamp"))
+            # one row per source, read by the log and by the jobs
+            failures = failures.withColumn("ingested_at", F.lit(load_time).cast("timestamp")).checkpoint()
         log = ingest.load_log(transformed, took, failures)
         tables.append_load(log, root, "ingest_log", load_batch)
         states = ingest.job_outcomes(log).select(
@@ -171,4 +175,4 @@ def load_records(
         loaded = loaded.withColumn("source_name", F.coalesce("source_name", "source_id"))
         tables.upsert(spark, root, "data_sources", ingest.with_observed_columns(loaded, seen))
     finally:
-        transformed.unpersist()
+        Folder(spark, kept).remove("")

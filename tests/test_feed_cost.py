@@ -2,9 +2,10 @@
 
 import pytest
 from pyspark.sql import functions as F
+from times import utc
 
 from pricemart.operators import ingest
-from pricemart.plans import catalogue
+from pricemart.plans import catalogue, jobs
 from pricemart.schemas import PRICE
 from pricemart.sources import feed
 
@@ -26,6 +27,23 @@ def test_generators_only_pass_on_what_was_computed(spark, name):
     assert len(parsers) == 1 and "concat(" not in parsers[0] and not parsers[0].lstrip(" :+-").startswith("Filter")
 
 
+def test_a_load_reads_files_and_leaves_none(spark, tmp_path, monkeypatch):
+    plans, paths, log = [], [], ingest.load_log
+
+    def seen(transformed, *more):
+        plans.append(optimized(transformed))
+        paths.append(transformed.inputFiles()[0])
+        return log(transformed, *more)
+
+    monkeypatch.setattr(jobs.ingest, "load_log", seen)
+    rows = [("s1", "i1", "p", n, {"date": f"2024-01-0{n + 1}", "close": "7.5", "mood": "x"}) for n in range(3)]
+    jobs.load_records(spark, str(tmp_path / "w"), spark.createDataFrame(rows, RECORDS), utc(2024, 6, 1), "first")
+    assert "InMemoryRelation" not in plans[0] and "Relation [" in plans[0]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths[0]).getParent()
+    assert not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    assert jobs.tables.scan(spark, str(tmp_path / "w"), "prices").count() == 3
+
+
 def test_tables_without_rows_give_no_records(spark):
     pages = spark.createDataFrame([
         ("none", '{"datatable": {"columns": [{"name": "a"}], "data": []}}'), ("null", '{"datatable": {"columns": [{"name": "a"}]}}'),
