@@ -27,6 +27,11 @@ def test_generators_only_pass_on_what_was_computed(spark, name):
     assert len(parsers) == 1 and "concat(" not in parsers[0] and not parsers[0].lstrip(" :+-").startswith("Filter")
 
 
+@pytest.mark.parametrize("name", ["load_log", "job_outcomes"])
+def test_the_log_reads_the_feed_without_a_copy(spark, name):
+    assert "LogicalRDD" not in optimized(catalogue.QUERIES[name](spark, FOLDER))
+
+
 def test_a_load_reads_files_and_leaves_none(spark, tmp_path, monkeypatch):
     plans, paths, log = [], [], ingest.load_log
 
