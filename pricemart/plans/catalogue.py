@@ -994,8 +994,10 @@ def stream_feed_load(spark, folder):
     """Landed pages loaded by the streaming job, read back with the instruments that it made."""
     landed, root, state = (scratch_path(spark, f"feed-{part}") for part in ("landed", "tables", "state"))
     # files and lines are in page order
-    pages = driver.feed_documents(spark, folder).repartitionByRange("source_id", "page").sortWithinPartitions("source_id", "page")
-    pages.select("source_id", F.col("document").alias("value")).write.partitionBy("source_id").text(landed)
+    pages = driver.feed_documents(
+        spark, folder, lambda rows: rows.repartitionByRange("source_id", "page").sortWithinPartitions("source_id", "page")
+    )
+    pages.select("source_id", F.col("document").alias("value")).write.partitionBy("source_id").text(landed, compression="gzip")
     start_feed_load(spark, landed, root, state).awaitTermination()
     names = tables.scan(spark, root, "financial_instruments").select("instrument_id", "symbol")
     return tables.scan(spark, root, "prices").join(names, "instrument_id").select(

@@ -49,6 +49,13 @@ def test_a_load_reads_files_and_leaves_none(spark, tmp_path, monkeypatch):
     assert jobs.tables.scan(spark, str(tmp_path / "w"), "prices").count() == 3
 
 
+def test_landed_pages_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "scratch_path", lambda _, name: str(tmp_path / name))
+    assert catalogue.QUERIES["stream_feed_load"](spark, FOLDER).count() > 0
+    landed = [f.name for f in (tmp_path / "feed-landed").rglob("part-*") if not f.name.startswith(".")]
+    assert landed and all(name.endswith(".gz") for name in landed)
+
+
 def test_tables_without_rows_give_no_records(spark):
     pages = spark.createDataFrame([
         ("none", '{"datatable": {"columns": [{"name": "a"}], "data": []}}'), ("null", '{"datatable": {"columns": [{"name": "a"}]}}'),
