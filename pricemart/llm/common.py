@@ -134,38 +134,41 @@ def tidy(spark: SparkSession) -> None:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a long, b long); the label is the smallest node it reaches.
 
-    Alternates two kinds of steps until nothing changes: every node points its larger neighbours to its
-    smallest neighbour, then its smaller ones. Minima are combined map-side and joined back, so a node with
-    any number of neighbours is never gathered in one place; the number of rounds is logarithmic. Edges are kept in
-    as many partitions as they fill.
+    Alternates two kinds of steps until all edges are stars around their labels: every node points its larger
+    neighbours to its smallest neighbour, then its smaller ones. Minima are combined map-side and joined back, so a
+    node with any number of neighbours is never gathered in one place; the number of rounds is logarithmic. Edges are
+    kept in as many partitions as they fill. Each round's plan reads the edges as few times as it can: the driver's
+    memory goes by the plans.
     """
     spark = links.sparkSession
     edges = saved(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    state = _state(edges)
-    while True:
-        filled = max(1, min(tasks(spark), -(-state[0] // ROWS_A_TASK)))
+    count, stars = _state(edges)
+    while not stars:
+        filled = max(1, min(tasks(spark), -(-count // ROWS_A_TASK)))
         edges = edges.coalesce(filled)
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = large.coalesce(filled)
+        up = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = edges.unionByName(up).groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = up.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(filled)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = saved(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(filled))
-        after = _state(edges)
-        del both, least, large, small
+        # the row of the smallest neighbour points the node itself to it
+        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                              F.col("m").alias("v"))
+        edges = saved(small.distinct().coalesce(filled))
+        count, stars = _state(edges)
+        del up, least, large, small
         tidy(spark)
-        if after == state:
-            break
-        state = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    """What two sets of edges only share if they are equal: their size and two sums of 64-bit hashes, as decimals."""
-    hashes = (F.xxhash64("u", "v"), F.xxhash64("v", F.lit(1), "u"))
-    return tuple(edges.agg(F.count("u"), *(F.sum(h.cast("decimal(38,0)")) for h in hashes)).first())
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """How many distinct edges (u, v), u > v, there are, and whether every node is a centre or has one edge only, to a centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("under")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("under"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("under").alias("under"), F.count("under").alias("n"))
+    count, stars = nodes.agg(F.sum("under"), F.min(F.expr("under = 0 OR n = 1"))).first()
+    return count or 0, stars is not False

@@ -62,6 +62,7 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     families = saved(families.join(nodes.select("node", _share()), "node"))
     texts = docs.select(F.col("row").alias("node"), "text").join(families.select("node"), "node")
     texts = stored(texts.join(nodes.drop("n_shingles"), "node"), "near_texts")
+    tidy(docs.sparkSession)
 
     measure = (shingle_words, percent, least_agreement(percent / 100))
     links = saved(_compared(_star_units(stars), texts, measure))
@@ -69,9 +70,11 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     classes = saved(components(links))
     labelled = families.select("node", "share", F.col("label").alias("family")).join(classes, "node", "left")
     labelled = saved(labelled.select("node", "share", "family", F.coalesce("label", "node").alias("label")))
+    tidy(docs.sparkSession)
     links = links.unionByName(_compared(_family_units(labelled), texts, measure))
 
     labels = components(links)
+    tidy(docs.sparkSession)
     rows = docs.select("row", "doc_id").join(sketched.drop("sketch"), "row").join(same_set, "digest", "left")
     rows = rows.join(labels, "node", "left").select(
         "row", "doc_id", "n_shingles", F.coalesce("label", "node", -1 - F.col("row")).alias("label")
@@ -151,9 +154,8 @@ def _family_units(labelled: DataFrame) -> DataFrame:
     pairs = left.join(right, "family").where(
         "x <= y AND NOT (x.owner = y.owner AND x.owner >= 0)"
     ).withColumn("unit", F.xxhash64("family", "x", "y"))
-    sides = pairs.select("family", "unit", F.lit(0).alias("side"), F.col("x").alias("block")).unionByName(
-        pairs.where("x <> y").select("family", "unit", F.lit(1).alias("side"), F.col("y").alias("block"))
-    )
+    both = F.when(F.col("x") == F.col("y"), F.array("x")).otherwise(F.array("x", "y"))
+    sides = pairs.select("family", "unit", F.posexplode(both).alias("side", "block"))
     members = members.select("family", F.struct("owner", "part").alias("block"), "node", "label")
     return sides.join(members, ["family", "block"]).select("unit", "node", "side", "label")
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pricemart.llm import exact_dedup, near_dedup
+from pricemart.llm import common, exact_dedup, near_dedup
 from pricemart.llm.common import components, numbered, one_batch
 from pricemart.llm.exact_dedup import exact_groups, keep_first
 from pricemart.llm.line_dedup import Bloom, line_dedup, repeated_lines
@@ -248,6 +248,34 @@ def test_components_of_numbers_of_late_partitions(spark):
     assert sorted(r["count"] for r in got) == [100] * 20 + [150_000]
     assert all(r["label"] in (2 * base, base + (r["label"] - base) // 100 * 100) for r in got)
 
+def test_components_in_few_and_small_plans(spark, monkeypatch):
+    rng = random.Random(11)
+    graphs = {
+        "none": [], "loops": [(4, 4)], "stars": [(1, n) for n in range(2, 40)] + [(n, 50) for n in range(51, 60)],
+        "repeated": [(1, 2), (2, 1), (1, 2)], "path": [(n, n + 1) for n in range(30)],
+        "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(220)],
+    }
+    leaves, save = [], common.saved
+
+    def counted(df):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return save(df)
+
+    monkeypatch.setattr(common, "saved", counted)
+    for name, pairs in graphs.items():
+        least = {n: n for pair in pairs for n in pair if pair[0] != pair[1]}
+        for _ in range(len(pairs)):
+            for a, b in pairs:
+                if a != b:
+                    least[a] = least[b] = min(least[a], least[b])
+        leaves.clear()
+        rows = components(spark.createDataFrame(pairs, "a long, b long").repartition(3)).collect()
+        assert len(rows) == len(least) and {r["node"]: r["label"] for r in rows} == least, name
+        # what are stars takes no round, and a round reads the edges six times
+        assert len(leaves) == 1 if name in ("none", "loops", "stars", "repeated") else len(leaves) > 1, name
+        assert max(leaves[1:], default=0) <= 6
+
+
 
 def test_batches_that_become_one():
     batches = [pa.RecordBatch.from_pydict({"n": [k], "text": ["ab" * k], "list": [[k, k]], "sketch": [b"x"]}) for k in range(3)]
