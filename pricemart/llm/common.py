@@ -17,6 +17,8 @@ from ..session import scratch_path, shared_dir
 FILE_NAMES_BYTES = 64_000_000
 #: Edges that fill a task.
 ROWS_A_TASK = 100_000
+#: Marks of rows that are broadcast together at most; each stands for up to 64 rows.
+MARKS = 2_000_000
 #: Rows of a file are numbered below two to this.
 ROW_BITS = 40
 
@@ -79,6 +81,20 @@ def numbered(df: DataFrame, name: str, **more: Column) -> DataFrame:
     return placed.join(numbers, file).select(row.alias("row"), F.struct(*names).alias("whole"), *more)
 
 
+def among(df: DataFrame, column: str, some: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose number in ``column`` is one of those in ``some``: they stay where they are, texts and all.
+
+    Numbers of :func:`numbered` rows lie close together, so a bit each says which are meant, 64 in a mark. The marks
+    go to all tasks; only where they are more than ``MARKS`` the rows meet their numbers in a shuffle.
+    """
+    number = F.col(column)
+    word, bit = F.shiftright(number, 6), F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(63).cast("int"))
+    marks = saved(some.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    if marks.count() > MARKS:
+        return df.join(some.select(column), column, "left_semi")
+    return df.join(F.broadcast(marks), (word == F.col("_word")) & (bit.bitwiseAND(F.col("_bits")) != 0), "left_semi")
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

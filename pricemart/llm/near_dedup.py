@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, numbered, one_batch, runs, saved, stored, tasks, tidy
+from .common import among, components, numbered, one_batch, runs, saved, stored, tasks, tidy
 from .sketches import BINS, band_width, least_agreement, set_digests, shingle_sets, sketch, sketch_bytes
 from .words import Words, slices
 
 #: Nodes that are compared in one piece, and shingles that they have together (but for one node with more).
 BLOCK = 512
 BLOCK_SHINGLES = 1_000_000
+#: Bytes of text whose shingles are made at once; workers keep tables as long as that.
+SLICE_BYTES = 1_000_000
 
 
 def near_groups(
@@ -55,13 +57,15 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
         lambda it: _sketches(it, shingle_words), "row long, n_shingles long, digest binary, sketch binary"
     ))
     same_set = sketched.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node"))
-    nodes = saved(same_set.join(sketched, F.col("node") == F.col("row")).select("node", "n_shingles", "sketch"))
+    # in as many parts as there are tasks: every node becomes a row a band
+    dealt = sketched.withColumnRenamed("row", "node").repartition(tasks(docs.sparkSession), "node")
+    nodes = saved(same_set.join(dealt, "node").select("node", "n_shingles", "sketch"))
 
     stars = saved(_stars(nodes, band_width(percent / 100)))
     families = components(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")))
     families = saved(families.join(nodes.select("node", _share()), "node"))
-    texts = docs.select(F.col("row").alias("node"), "text").join(families.select("node"), "node")
-    texts = stored(texts.join(nodes.drop("n_shingles"), "node"), "near_texts")
+    texts = among(docs.select(F.col("row").alias("node"), "text"), "node", families)
+    texts = stored(texts.join(among(nodes.select("node", "sketch"), "node", families), "node"), "near_texts")
     tidy(docs.sparkSession)
 
     measure = (shingle_words, percent, least_agreement(percent / 100))
@@ -90,12 +94,12 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     """The rows of ``docs`` that :func:`near_groups` keeps, with all their columns."""
     rows = numbered(docs, "near_rows")
     kept = _groups(rows.select("row", "whole.doc_id", "whole.text"), shingle_words, percent).where("kept")
-    return rows.join(kept.select("row"), "row", "left_semi").select("whole.*")
+    return among(rows, "row", kept).select("whole.*")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, bounds in slices(batch):
+        for part, data, bounds in slices(batch, size=SLICE_BYTES):
             sets, first = shingle_sets(Words(data, bounds, lower=True), shingle_words)
             short = sketch_bytes(sketch(sets, first))
             yield pa.RecordBatch.from_arrays(
@@ -185,7 +189,7 @@ def _links(run: list[pa.RecordBatch], shingle_words: int, percent: int, agreemen
         return
 
     sets, sizes = [], []
-    for _, data, bounds in slices(part):
+    for _, data, bounds in slices(part, size=SLICE_BYTES):
         found, first = shingle_sets(Words(data, bounds, lower=True), shingle_words)
         sets.append(found)
         sizes.append(np.diff(first))

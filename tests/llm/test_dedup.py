@@ -140,6 +140,33 @@ def test_near_groups_of_repeated_rows_and_null_ids(documents):
     assert kept.columns == docs.columns and kept.count() == 3
 
 
+def test_near_groups_leaves_texts_where_they_are(documents, monkeypatch):
+    """Texts are picked by marks, however many: no shuffle takes the texts of all rows."""
+    seen, store, save = [], near_dedup.stored, near_dedup.saved
+
+    def shuffled(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        join = next(x for x in plan.split("\n") if "LeftSemi" in x)
+        seen.append("rightHint=(strategy=broadcast)" in join)
+
+    monkeypatch.setattr(near_dedup, "stored", lambda df, name: shuffled(df) or store(df, name))
+    docs = documents("a b c d e f", "A b c d e f", "x y z u v w", "a b c d e f g h i j", "a b c d e f g h i j k", None)
+    kept = keep_one_of_each(docs)
+    shuffled(kept)
+    assert seen == [True, True]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 5]
+
+
+@pytest.mark.parametrize("most", [0, 2, 2_000_000])
+def test_rows_among_numbers(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "MARKS", most)
+    numbers = [0, 1, 63, 64, 65, 127, 128, 5 << 33, (5 << 33) + 63, (7 << 40) + 1, -1, -64, -65]
+    rows = [(n + d, f"t{n + d}") for n in numbers for d in (-1, 0, 1)]
+    some = spark.createDataFrame([(n,) for n in numbers * 2], "n long").repartition(3)
+    got = common.among(spark.createDataFrame(rows, "n long, text string"), "n", some).collect()
+    assert sorted(map(tuple, got)) == sorted(r for r in rows if r[0] in numbers)
+
+
 def test_near_groups_of_nothing(documents):
     assert near_groups(documents("a").where("false")).count() == 0
 
