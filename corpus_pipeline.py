@@ -12,8 +12,18 @@ from pricemart.llm import exact_dedup, near_dedup, pieces, quality, source_mix
 from pricemart.llm.common import scratch, table
 
 
+#: Bytes of rows that go to a Python worker at once, or one row.
+BATCH_BYTES = 4_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Python workers get texts in small batches: a task holds a batch several times, here and there."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 or more stay. The classifier learns from all labelled documents here."""
+    small_batches(spark)
     model = quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"), F.lit(True)))
     return quality.accepted(docs, model)
 
@@ -25,6 +35,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of texts that share 80% of their five-word shingles, the smallest doc_id stays."""
+    small_batches(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
@@ -35,6 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids, and whether the ids decode to the very text."""
+    small_batches(spark)
     vocabulary = pieces.Vocabulary()
     both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
     return both.withColumn("exact", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pricemart.llm import common, exact_dedup, near_dedup
 from pricemart.llm.common import components, numbered, one_batch
 from pricemart.llm.exact_dedup import exact_groups, keep_first
@@ -157,6 +158,18 @@ def test_near_groups_leaves_texts_where_they_are(documents, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 5]
 
 
+def test_the_pipeline_sends_texts_in_small_batches(documents, spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "BATCH_BYTES", 20_000, raising=False)
+    docs = documents(*(f"{n} " + "x" * 1000 for n in range(200)))
+    sizes = docs.select("text").mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long")
+    try:
+        corpus_pipeline.encode(spark, docs, "")
+        largest = sizes.agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert 10_000 < largest < 40_000
+
+
 @pytest.mark.parametrize("most", [0, 2, 2_000_000])
 def test_rows_among_numbers(spark, monkeypatch, most):
     monkeypatch.setattr(common, "MARKS", most)
