@@ -7,8 +7,10 @@ documents of the same number of blocks have the same name exactly if their texts
 
 At scale: distinct blocks are combined map-side, so a block that a third of all documents share reaches the
 naming tasks once per map task; joining names back is a plain equi-join that adaptive execution splits. Whole
-texts are shuffled twice (once to be named, once to look their names up); upper levels move a few numbers per
-block, and end in a checkpoint each, as a name must never be computed twice.
+texts are shuffled twice (once to be named, once to look their names up), and the rows that stay are picked without
+another shuffle of texts; upper levels move a few numbers per block, and every level is written out, as a name must
+never be computed twice. Most texts are one block: they are normalised as bytes and pass no regular expression, which
+makes several copies of a text in the executor's heap.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, row_number, saved, tidy
+from .common import among, numbered, row_number, saved, stored, tidy
 
 BLOCK_CHARS = 4096
 SPACES = r"[\x20\x09-\x0D]"
@@ -26,7 +28,11 @@ SPACES = r"[\x20\x09-\x0D]"
 
 def normalised(text: str) -> Column:
     """The text without spaces, tabs and line ends; null counts as empty."""
-    return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACES, "")
+    plain = whole = F.coalesce(F.col(text), F.lit(""))
+    for space in " \t\n\x0b\x0c\r":
+        plain = F.replace(plain, F.lit(space), F.lit(""))
+    # bytes that are no UTF-8 become what Java's strings make of them
+    return F.when(F.is_valid_utf8(whole), plain).otherwise(F.regexp_replace(whole, SPACES, ""))
 
 
 def exact_groups(
@@ -47,7 +53,7 @@ def exact_groups(
 def _groups(docs: DataFrame, block_chars: int) -> DataFrame:
     """As :func:`exact_groups`, of rows (row, doc_id, text); the numbers are read by one scan only."""
     longest = docs.agg(F.max(F.char_length("text"))).first()[0] or 0
-    first = saved(_named_blocks(docs, block_chars))
+    first = stored(_named_blocks(docs, block_chars), "exact_blocks")
     names = first.select("row", "pos", "name")
     for _ in range(math.ceil(math.log2(max(1, math.ceil(longest / block_chars))))):
         names = saved(_named_pairs(names))
@@ -72,7 +78,7 @@ def keep_first(docs: DataFrame, text_column: str = "text", id_column: str = "doc
     rows = numbered(docs, "exact_rows")
     whole = F.col("whole")
     texts = rows.select("row", whole[id_column].alias("doc_id"), whole[text_column].alias("text"))
-    return rows.join(_groups(texts, BLOCK_CHARS).where("kept").select("row"), "row", "left_semi").select("whole.*")
+    return among(rows, "row", _groups(texts, BLOCK_CHARS).where("kept")).select("whole.*")
 
 
 def _named_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
@@ -82,7 +88,8 @@ def _named_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
     cut = F.regexp_extract_all("plain", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
     blocks = plain.select(
         "row", "doc_id", "n_chars", F.unhex(F.sha2("plain", 256)).alias("sha"),
-        F.when(F.col("plain") == "", F.array(F.lit(""))).otherwise(cut).alias("blocks"),
+        F.when((F.char_length("plain") <= block_chars) & F.is_valid_utf8("plain"), F.array("plain"))
+        .otherwise(cut).alias("blocks"),
     ).select("row", "doc_id", "n_chars", "sha", F.size("blocks").alias("n_blocks"),
              F.posexplode("blocks").alias("pos", "block"))
     start = F.col("pos") == 0

@@ -57,6 +57,36 @@ def test_exact_groups_of_repeated_rows_and_null_ids(documents):
     assert keep_first(docs).columns == docs.columns and keep_first(docs).count() == 2
 
 
+def test_exact_copies_go_without_moving_texts_of_kept_rows(documents):
+    """Kept rows are picked by marks: no shuffle takes whole rows."""
+    kept = keep_first(documents("a b", "ab", "a  b", "c", None, ""))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in next(x for x in plan.split("\n") if "LeftSemi" in x)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
+
+
+def test_named_blocks_are_computed_once(documents, monkeypatch):
+    """A checkpoint would join texts with their names twice: to count rows and to write them."""
+    calls = []
+    save, store = exact_dedup.saved, common.stored
+    monkeypatch.setattr(exact_dedup, "saved", lambda df: calls.append(("saved", "sha" in df.columns)) or save(df))
+    monkeypatch.setattr(exact_dedup, "stored", lambda df, name: calls.append(("stored", "sha" in df.columns)) or store(df, name),
+                        raising=False)
+    exact_groups(documents("a" * 70, "b"), block_chars=16)
+    assert calls == [("stored", True)] + [("saved", False)] * 3
+
+
+def test_normalised_texts_are_as_a_regular_expression_has_them(spark, documents):
+    """Every kind of white space, bytes that are no UTF-8, and texts of just one block and of more."""
+    raw = [b"a b", b"\x20\x09\x0a\x0b\x0c\x0d", "é\u00a0\u2003\x1c\x85 z".encode(), b"\xff \xe4\xb8 \xf0\x9f\x98\x80\xed\xa0\x80 \xc0\x80", b""]
+    texts = spark.createDataFrame([(n, bytearray(b)) for n, b in enumerate(raw)], "n long, raw binary").selectExpr(
+        "n", "CAST(raw AS STRING) AS text")
+    plain = texts.select("n", exact_dedup.normalised("text").alias("plain"), F.regexp_replace("text", r"[\x20\x09-\x0D]", "").alias("want"))
+    assert [r["n"] for r in plain.select("n", (F.hex("plain") == F.hex("want")).alias("same")).collect() if not r["same"]] == []
+    rows = {r["doc_id"]: r for r in exact_groups(documents("ab" * 8, "a b" * 8, "ab" * 8 + "c"), block_chars=16).collect()}
+    assert [(rows[n]["n_blocks"], rows[n]["keep_id"]) for n in range(3)] == [(1, 1), (1, 1), (2, 2)]
+
+
 def test_exact_groups_of_nothing(documents):
     assert exact_groups(documents("a").where("false")).count() == 0
 
