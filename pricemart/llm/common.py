@@ -74,7 +74,8 @@ def numbered(df: DataFrame, name: str, **more: Column) -> DataFrame:
         return stored(df.select(row_number().alias("row"), F.struct("*").alias("whole"), *added), name)
     # a row per file, as the driver's list of the files has
     files = sorted(r[0] for r in placed.select(file).distinct().collect())
-    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"number long, `{file}` string")
+    # an Arrow table goes to the JVM as it is; a list would start more Python workers, which stay with their memory
+    numbers = df.sparkSession.createDataFrame(pa.table({"number": pa.array(range(len(files)), pa.int64()), file: pa.array(files, pa.string())}))
     if sum(map(len, files)) <= FILE_NAMES_BYTES:
         numbers = F.broadcast(numbers)
     row = F.shiftleft("number", ROW_BITS) + F.col(index)

@@ -289,6 +289,14 @@ def test_very_long_texts(documents):
 # numbers of rows ---------------------------------------------------------------------------------------------
 
 
+def test_numbers_of_files_start_no_python_workers(many_files, documents):
+    """A list of the driver's passes Python workers of its own kind, which then stay beside those of the operators."""
+    for docs in (many_files, documents("a").where("false")):
+        rows = numbered(docs, "rows")
+        assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.select("row").distinct().count() == docs.count()
+
+
 def test_exact_copies_of_files_that_are_packed_anew(many_files, repacked):
     repacked(exact_dedup)
     assert sorted(r["doc_id"] for r in keep_first(many_files).collect()) == [n for n in range(60) if n % 3 < 2]
